@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.llm import packing, pii, simhash, token_counts
+from docquarry.llm import licenses, mixing, packing, pii, quality, simhash, token_counts
 from docquarry.llm.common import table
 
 
@@ -23,18 +23,34 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.learn_rules(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_pii": op4_pii,
+        "op5_mix_sources": op5_mix_sources,
+        "op6_quality_rules": op6_quality_rules,
         "op7_simhash": op7_simhash,
+        "op8_license_scan": op8_license_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_mix_sources": mixing.oracle(), "op8_license_scan": licenses.oracle()}
