@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.llm import licenses, mixing, packing, pii, quality, simhash, token_counts
+from docquarry.llm import ann, langid, licenses, mixing, packing, pii, quality, simhash, token_counts, toxicity
 from docquarry.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -40,15 +44,26 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_nearest_neighbours": op2_nearest_neighbours,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_pii": op4_pii,
         "op5_mix_sources": op5_mix_sources,
         "op6_quality_rules": op6_quality_rules,
         "op7_simhash": op7_simhash,
         "op8_license_scan": op8_license_scan,
+        "op9_language_id": op9_language_id,
+        "op10_toxicity": op10_toxicity,
     }
 
 
