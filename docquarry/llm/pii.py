@@ -19,11 +19,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docquarry import scratch
 from docquarry.llm import common
 
 KINDS = ("email", "ip", "card", "phone")
@@ -247,11 +250,6 @@ def redacted(text: str) -> str:
 
 def redact(docs: DataFrame, column: str = "text") -> DataFrame:
     """The same rows and columns with the found spans of ``column`` replaced; null stays null."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-    from docquarry import scratch
-
     scratch.ship(docs.sparkSession)
 
     @F.pandas_udf("string")

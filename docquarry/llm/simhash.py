@@ -215,3 +215,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, tau: int = 2) -> DataFrame:
     named = linked.join(names, "root").select("fp", "component_id")
     out = prints.join(named, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 3, tau: int = 2) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names its component, each id once; rows without a doc_id have no name to go by and stay."""
+    named = docs.where(F.col("doc_id").isNotNull())
+    groups = near_duplicates(named, width, tau)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
+    ours = named.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    return ours.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -158,7 +158,7 @@ def learn_terms(docs: list[tuple[set[str], int]], clean_weight: float) -> tuple[
     if not toxic or not n_clean:
         return [], 0.05
     rate = len(toxic) / (len(toxic) + clean_weight * n_clean)
-    needed = math.log(max(2, len(where)))  # by chance alone, about one candidate would reach this
+    needed = math.log(max(2, len(where))) + 1.0  # by chance alone, about one candidate in three lexicons would reach this
     able = []
     for p, s in where.items():
         a, b = len(s), clean_weight * clean_in[p]
