@@ -166,15 +166,19 @@ def learn_terms(docs: list[tuple[set[str], int]], clean_weight: float) -> tuple[
         if share >= 0.9:
             tail = (a + b) * (share * math.log(share / rate) + (0 if b == 0 else (1 - share) * math.log((1 - share) / (1 - rate))))
             if tail > needed:
-                able.append((p, s, b))
-    chosen, left = [], set(toxic)
+                able.append((p, s, b, tail))
+    chosen, left, every = [], set(toxic), able
     while able and len(chosen) < MOST_TERMS:
-        p, s, b = max(able, key=lambda x: (len(x[1] & left), len(x[1]), len(x[0]), x[0]))
+        p, s, b, _ = max(able, key=lambda x: (len(x[1] & left), len(x[1]), len(x[0]), x[0]))
         if len(s & left) < 2:
             break
         chosen.append((p, s, b))
         left -= s
         able = [x for x in able if not x[0].startswith(p) and len(x[1] & left) >= 2]
+    # what always stands beside other terms adds no cover, but far beyond chance is a term too
+    for p, s, b, tail in sorted(every, key=lambda x: (-len(x[1]), -len(x[0]), x[0])):
+        if tail > needed + 20 and len(chosen) < MOST_TERMS and not any(p.startswith(c) or c.startswith(p) for c, *_ in chosen):
+            chosen.append((p, s, b))
     # whole words, and what misspelled hits show
     exact_words: dict[str, Counter] = {p: Counter() for p, *_ in chosen}
     for i in toxic:
