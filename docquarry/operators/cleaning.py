@@ -530,6 +530,11 @@ def run_passes(text: str, gated: bool) -> str:
     return "\n".join(lines)
 
 
+def computed(files: DataFrame, text: Column) -> DataFrame:
+    """``files`` with this text. Exploding an array of one keeps the optimizer from copying the expression into every use of the column."""
+    return files.withColumn("_clean", F.explode(F.array(text))).withColumn("text", F.col("_clean")).drop("_clean")
+
+
 def clean(files: DataFrame, gate: Column | None = None, title: Column | None = None, rules: Iterable[Rule] = RULES) -> DataFrame:
     """``files`` with its text cleaned: native structure passes, the line machines in one UDF, then the rewrite rules.
 
@@ -541,9 +546,9 @@ def clean(files: DataFrame, gate: Column | None = None, title: Column | None = N
     def machines(texts: pd.Series, gated: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else run_passes(t, bool(g)) for t, g in zip(texts, gated, strict=True)], dtype=object)
 
-    text = fill_empty_h1(blank_short_sections(drop_page_furniture(F.col("text"))))
-    text = strip_heading_numbers(ensure_top_heading(text, F.lit(None).cast("string") if title is None else title))
-    # exploding an array of one computes the text before the UDF, which takes no higher-order functions as its input
-    first = files.withColumn("_clean", F.explode(F.array(text))).withColumn("text", F.col("_clean")).drop("_clean")
+    first = computed(files, drop_page_furniture(F.col("text")))
+    first = computed(first, blank_short_sections(F.col("text")))
+    first = computed(first, fill_empty_h1(F.col("text")))
+    first = computed(first, strip_heading_numbers(ensure_top_heading(F.col("text"), F.lit(None).cast("string") if title is None else title)))
     second = first.withColumn("text", machines("text", F.coalesce(F.lit(False) if gate is None else gate, F.lit(False))))
     return second.withColumn("text", apply_rules(F.col("text"), rules))

@@ -75,10 +75,11 @@ def chunk_h1_root(spark, d):
 
 @query("section_cumulative_tokens", f"""WITH {SECTIONS},
 e AS (SELECT a.doc_id, a.ord, a.token_count, min(b.ord) AS stop FROM s a LEFT JOIN s b ON a.doc_id = b.doc_id AND b.ord > a.ord AND b.level <= a.level GROUP BY 1, 2, 3)
-SELECT e.doc_id, e.ord, e.token_count, CASE WHEN count(c.ord) > 1 THEN CAST(sum(c.token_count) AS BIGINT) END AS cumulative_tokens
+SELECT e.doc_id, e.ord, e.token_count, CASE WHEN count(c.ord) > 1 THEN CAST(sum(c.token_count) AS BIGINT) ELSE -1 END AS cumulative_tokens
 FROM e JOIN s c ON c.doc_id = e.doc_id AND c.ord >= e.ord AND (stop IS NULL OR c.ord < stop) GROUP BY 1, 2, 3""")
 def section_cumulative_tokens(spark, d):
-    return headings.cumulative_tokens(sections(spark, d)).select("doc_id", "ord", "token_count", "cumulative_tokens")
+    """A leaf shows as -1 here."""
+    return headings.cumulative_tokens(sections(spark, d)).select("doc_id", "ord", "token_count", F.coalesce("cumulative_tokens", F.lit(-1)).cast("long").alias("cumulative_tokens"))
 
 
 @query("tokens_by_level", f"""WITH {SECTIONS}

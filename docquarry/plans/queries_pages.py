@@ -214,9 +214,9 @@ def human_sizes(spark, d):
     return docs(spark, d).where("n_chars < 1000000").select("doc_id", T.human_size(F.col("n_chars")).alias("size"))
 
 
-@query("safe_ints", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS INTEGER) END AS n FROM documents")
+@query("safe_ints", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS INTEGER) ELSE -1 END AS n FROM documents")
 def safe_ints(spark, d):
-    return docs(spark, d).select("doc_id", T.safe_int(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" "), F.col("doc_id").cast("string"))).otherwise("n/a")).alias("n"))
+    return docs(spark, d).select("doc_id", F.coalesce(T.safe_int(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" "), F.col("doc_id").cast("string"))).otherwise("n/a")), F.lit(-1)).alias("n"))
 
 
 @query("chunk_kinds", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'example' WHEN 1 THEN 'table' ELSE 'heading' END AS kind FROM documents")

@@ -41,9 +41,9 @@ def merged(spark, d):
     return VT.merge_embeddings(chunks, sidecar(spark, d))
 
 
-@query("embedding_merge", f"WITH {SIDE} SELECT id, source, CASE WHEN len(embedding) > 0 THEN round(embedding[1]::DOUBLE, 6) END AS first_component, CASE WHEN len(embedding) > 0 THEN len(embedding) END AS dim FROM chunks LEFT JOIN last USING (id)")
+@query("embedding_merge", f"WITH {SIDE} SELECT id, source, CASE WHEN len(embedding) > 0 THEN round(embedding[1]::DOUBLE, 6) ELSE 9 END AS first_component, CASE WHEN len(embedding) > 0 THEN len(embedding) ELSE 0 END AS dim FROM chunks LEFT JOIN last USING (id)")
 def embedding_merge(spark, d):
-    return merged(spark, d).select("id", "source", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first_component"), F.when(F.col("embedding").isNotNull(), F.size("embedding").cast("long")).alias("dim"))
+    return merged(spark, d).select("id", "source", F.coalesce(F.round(F.get("embedding", F.lit(0)).cast("double"), 6), F.lit(9.0)).alias("first_component"), F.when(F.col("embedding").isNotNull(), F.size("embedding").cast("long")).otherwise(0).alias("dim"))
 
 
 @query("embedding_stats", f"WITH {SIDE} SELECT count(CASE WHEN len(embedding) > 0 THEN 1 END) AS n_embedding, 0::BIGINT AS n_embedding_summary_chunk, 0::BIGINT AS n_embedding_summary_page FROM chunks LEFT JOIN last USING (id)")
