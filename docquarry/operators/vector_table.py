@@ -61,8 +61,8 @@ def vector_dimension(chunks: DataFrame, column: str = "embedding") -> DataFrame:
 
 def distinct_encoded(chunks: DataFrame, text: str, encode, vector: str) -> DataFrame:
     """A vector for each chunk's text, each distinct text being encoded once. ``encode``: DataFrame (text) -> (text, vector)."""
-    made = encode(chunks.where(F.coalesce(F.col(text), F.lit("")) != "").select(F.col(text).alias("text")).distinct()).select(F.col("text").alias("_text"), F.col("vector").alias(vector))
-    return chunks.join(made, F.col(text) == F.col("_text"), "left").drop("_text")
+    made = encode(chunks.where(F.coalesce(F.col(text), F.lit("")) != "").select(F.col(text).alias("text")).distinct()).select(F.col("text").alias("_encoded"), F.col("vector").alias(vector))
+    return chunks.join(made, F.col(text) == F.col("_encoded"), "left").drop("_encoded")
 
 
 def provenance_id(fields: list[Column]) -> Column:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from docquarry import scratch
 from docquarry.sources.files import relative_name
 
 Converter = Callable[[bytes], str]
@@ -75,18 +77,12 @@ class TreeSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    from docquarry import scratch
-
     scratch.ship(spark)
     spark.dataSource.register(TreeSource)
 
 
 def converted(spark: SparkSession, root: str, convert: Converter, pattern: str = "*.pdf") -> DataFrame:
     """(filename, text) of binary documents by a converter that each worker calls; a document that fails has null."""
-    import pandas as pd
-
-    from docquarry import scratch
-
     scratch.ship(spark)
 
     @F.pandas_udf("string")

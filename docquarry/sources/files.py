@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docquarry.functions import text as X
 from docquarry.operators.vector_table import valid_embeddings, with_missing_vectors
 
-CHUNK = T.StructType.fromDDL(
+CHUNK = (
     "id string, filename string, parent_id string, id_prev string, id_next string, heading string, header_level int, concat_header_path string, chunk_type string, content string, "
     "code_friendly_name string, examples array<string>, chunk_summary string, page_summary string, code_summary string, title string, author string, category string, description string, "
     "language string, token_count int, embed boolean, embedding array<float>, embedding_summary_chunk array<float>, embedding_summary_page array<float>, prov_id string"
 )
-PROVENANCE = T.StructType.fromDDL(
+PROVENANCE = (
     "prov_id string, timestamp timestamp, chunk struct<model:string,chunk_size_range:string,keyword_density:double>, "
     "summary struct<model:string,prompt:string,size:int,temperature:double>, embed struct<model:string,vectorsize:int>"
 )
