@@ -218,9 +218,17 @@ def near_duplicates(docs: DataFrame, width: int = 3, tau: int = 2) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = 3, tau: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, each id once; rows without a doc_id have no name to go by and stay."""
+    """One row of each group of near copies: that of its smallest doc_id.
+
+    Texts are near if their fingerprints differ in at most ``tau`` bits, or if
+    their five-word shingles agree to 0.8 or more (see ``near_copies``). Each
+    doc_id stays once; rows without a doc_id have no name to go by and stay.
+    """
+    from docquarry.llm import near_copies
+
     named = docs.where(F.col("doc_id").isNotNull())
-    groups = near_duplicates(named, width, tau)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    ours = named.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    groups = near_duplicates(named, width, tau).where("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    roots = components.stars(near_copies.links(named).union(groups))
+    gone = roots.where("node <> root").select(F.col("node").alias("__gone"))
+    ours = named.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti").dropDuplicates(["doc_id"])
     return ours.unionByName(docs.where(F.col("doc_id").isNull()))
