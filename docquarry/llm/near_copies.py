@@ -9,11 +9,12 @@ texts within BLOCKS - 1 differing bits must agree on a whole partition; texts
 at a similarity of 0.8 do so with a chance of over 0.99 (1 - (1 - 0.934^32)^48).
 
 Texts of the same words are one node. Nodes that agree on a partition are
-candidates of the partition's least and greatest node, so candidates stay linear
-in the nodes however large a group is; each is verified by the Jaccard
-similarity of its whole texts' shingles. Where a candidate fails, the nodes that
-are still apart are paired anew, with other least and greatest nodes, until no
-round links any.
+candidates of one node of that group, its hub: the node that shares its
+partitions with most others, which is the original that the others were made
+from, if it is there. So candidates stay linear in the nodes however large a
+group is; each is verified by the Jaccard similarity of its whole texts'
+shingles. Then hubs and the nodes that were linked leave, the rest of each group
+gets a new hub, and so on until a round links none.
 
 Cases: texts without words are copies of each other; a text of fewer words than
 a shingle is one shingle; case of A-Z and the kind of white space do not count;
@@ -34,7 +35,6 @@ from docquarry.llm import common, components
 BLOCKS = 48
 WIDTH = 5
 LEAST = 0.8
-MOST_ROUNDS = 6
 _MIX = np.random.default_rng(23).integers(1, 2**63, BLOCKS // 2, dtype=np.uint64) | np.uint64(1)
 
 
@@ -97,26 +97,24 @@ def links(docs: DataFrame) -> DataFrame:
     made = scratch.materialize(prints(named), "wide")
     nodes = made.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"))  # equal digests have equal partitions
     nodes = scratch.materialize(nodes, "wide-nodes")
-    keyed = scratch.materialize(nodes.select("id", F.posexplode("keys").alias("block", "key")), "wide-keys")
+    keyed = nodes.select("id", F.posexplode("keys").alias("block", "key")).select("id", F.shiftleft(F.col("block").cast("long"), 32).bitwiseOR(F.col("key").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("k"))
     texts = named.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     edges = made.join(nodes.select("same", "id"), "same").where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    done = None
-    for _ in range(MOST_ROUNDS):
-        ends = keyed.groupBy("block", "key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-        pairs = keyed.join(ends, ["block", "key"]).select("id", F.explode(F.array("lo", "hi")).alias("end")).where("id <> end")
-        pairs = pairs.select(F.greatest("id", "end").alias("a"), F.least("id", "end").alias("b")).distinct()
+    left, done = scratch.materialize(keyed, "wide-keys"), None
+    while True:
+        groups = left.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+        shared = scratch.materialize(left.join(groups, "k"), "wide-shared")
+        known = shared.groupBy("id").agg(F.sum("n").alias("known"))
+        hubs = shared.join(known, "id").groupBy("k").agg(F.max(F.struct("known", (-F.col("id")).alias("least"))).alias("m")).select("k", (-F.col("m.least")).alias("hub"))
+        others = scratch.materialize(shared.join(hubs, "k").where("id <> hub").select("id", "k", "hub"), "wide-others")
+        pairs = others.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
         pairs = scratch.materialize(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "wide-pairs")
         tried = scratch.materialize(verified(pairs, texts), "wide-tried")
         near, far = tried.where("near").select("a", "b"), tried.where(~F.col("near")).select("a", "b")
-        edges = edges.union(near)
-        if far.isEmpty():
+        if near.isEmpty():
             break
-        # nodes that met one unlike them go on, but for those that are now linked to a lesser one
+        edges = edges.union(near)
         done = far if done is None else done.union(far)
-        gone = components.stars(near).where("node > root").select(F.col("node").alias("id"))
-        again = far.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(gone, "id", "left_anti")
-        left = scratch.materialize(keyed.join(again, "id", "left_semi"), "wide-keys")
-        if near.isEmpty() and left.count() == keyed.count():
-            break
-        keyed = left
+        linked = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
+        left = scratch.materialize(others.select("id", "k").join(linked, "id", "left_anti"), "wide-keys")
     return edges

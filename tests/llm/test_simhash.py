@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from docquarry.llm import components, simhash
+from docquarry.llm import components, near_copies, simhash
 
 
 def brute_print(text, width=3):
@@ -35,6 +35,28 @@ def brute_components(rows, tau=2):
     return {(d, p): least[find(p)] for d, p in rows}
 
 
+def brute_groups(rows, linked):
+    """doc_id to the least one of its group: fingerprints' components joined by five-word similarities of 0.8 or more."""
+    parent = {d: d for d, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def join(a, b):
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+
+    for (d, _), c in linked.items():
+        join(d, c)
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[i + 1 :]:
+            if near_copies.similarity(x or "", y or "") >= 0.8:
+                join(a, b)
+    return {d: find(d) for d in parent}
+
+
 def test_whole_query_against_brute_force(spark):
     rng = random.Random(5)
     base = ["The  quick\tBrown fox " + " ".join(rng.choice("abcdefgh") * 2 for _ in range(rng.randrange(0, 300))) for _ in range(40)]
@@ -50,7 +72,8 @@ def test_whole_query_against_brute_force(spark):
     assert set(got) == set(want) and got == brute_components(want)
     assert got[0, 0] == got[1, 0] == got[2, 0] == 0
     kept = sorted(r.doc_id for r in simhash.keep_one(df.union(df.where("doc_id = 9"))).collect())
-    assert kept == sorted(set(got.values()))
+    least = set(brute_groups(rows, got).values())  # the search for near copies may miss a few: these texts have eight different words
+    assert least <= set(kept) and len(set(kept) - least) <= 0.03 * len(rows) and len(kept) == len(set(kept))
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -93,3 +116,22 @@ def test_components_of_a_chain_and_a_star(spark):
     rows = [(i, i + 1) for i in range(100)] + [(1000, 2000 + i) for i in range(200)] + [(5, None), (7, 7)]
     got = {r.node: r.root for r in components.stars(spark.createDataFrame(rows, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(101)) and all(got[2000 + i] == 1000 for i in range(200)) and len(got) == 302
+
+
+def test_near_copies_have_one_hub_and_lose_few(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(900)]
+    rows, wanted = [], []
+    for group in range(12):
+        first = [rng.choice(vocabulary) for _ in range(rng.randrange(60, 400))]
+        for copy in range(20 if group == 0 else 4):
+            words = list(first)
+            for _ in range(len(words) // 90 if copy else 0):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(words)))
+    alone = [(1000 + i, " ".join(rng.choice(vocabulary) for _ in range(120))) for i in range(40)]
+    texts = dict(rows)
+    wanted = [(a, b) for a in texts for b in texts if a < b and near_copies.similarity(texts[a], texts[b]) >= 0.8]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows + alone, "doc_id long, text string")).collect()}
+    assert {d for d, _ in alone} <= kept
+    assert sum(a in kept and b in kept for a, b in wanted) <= 0.01 * len(wanted)
