@@ -38,7 +38,8 @@ SAMPLE = 1_000  # documents of a language that are learned from, about
 LONGEST = 20_000  # characters of a document that may be learned from
 WORDS = 8_000  # the most frequent words of a language that the fit sees
 ROUNDS = 3
-MOST_CACHED = 300_000
+MOST_CACHED = 800_000  # words as written that a worker keeps
+MOST_CELLS = 8_000_000  # numbers in its table of words
 START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 SMALL, RAISE = 1e-200, 1e200
@@ -169,6 +170,12 @@ class Scorer:
         return out
 
     def add(self, chunk: str) -> int:
+        """The row of a word as written; that of its letters where it has but one run of them."""
+        words = LETTERS.findall(chunk)
+        if len(words) == 1 and words[0] != chunk:
+            at = self.row.get(words[0])
+            self.row[chunk] = at = self.add(words[0]) if at is None else at
+            return at
         if self.used == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         self.table[self.used] = self.chunk(chunk)
@@ -179,14 +186,14 @@ class Scorer:
     def score(self, text: str) -> tuple[str, float]:
         if not self.langs:
             return "und", 0.0
-        if self.used > MOST_CACHED:
+        if len(self.row) > MOST_CACHED or self.table.size > MOST_CELLS:
             self.reset()
         total, known, rows = np.zeros(len(self.langs) + 1), self.row, []
         for chunk in text.lower().split():
             at = known.get(chunk)
             if at is not None:
                 rows.append(at)
-            elif len(chunk) > 40 or self.used > 2 * MOST_CACHED:
+            elif len(chunk) > 40 or len(self.row) > 2 * MOST_CACHED or self.table.size > 2 * MOST_CELLS:
                 total += self.chunk(chunk)
             else:
                 rows.append(self.add(chunk))
