@@ -19,15 +19,25 @@ FENCE = r"^\s{0,3}(`{3,}|~{3,})"
 LEVELS = range(1, 7)
 
 
+def heading_of(line: Column, i: Column) -> Column:
+    """The heading made of the start of line ``i``, of a level that its place gives."""
+    return F.concat(F.repeat(F.lit("#"), (1 + (F.col("doc_id") + F.floor(i / 5)) % 4).cast("int")), F.lit(" "), F.substring(line, 1, 40))
+
+
 def synthetic_markdown(docs: DataFrame) -> DataFrame:
-    """Documents of plain prose as markdown files: every fifth line becomes a heading of a level that its place gives."""
+    """Documents of plain prose as markdown files: the start of every fifth line becomes a heading and its rest is dropped, as in the queries' SQL."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    promoted = lambda line, i: F.when(
-        i % 5 == 0, F.concat(F.repeat(F.lit("#"), (1 + (F.col("doc_id") + F.floor(i / 5)) % 4).cast("int")), F.lit(" "), F.substring(line, 1, 40))
-    ).otherwise(line)
+    promoted = lambda line, i: F.when(i % 5 == 0, heading_of(line, i)).otherwise(line)
     return docs.select("doc_id", F.format_string("doc_%d.md", "doc_id").alias("filename"), F.array_join(F.transform(lines, promoted), "\n").alias("text"))
 
 
+def whole_markdown(docs: DataFrame) -> DataFrame:
+    """The same headings, each put before the whole of its line."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    headed = F.transform(lines, lambda line, i: F.when(i % 5 == 0, F.concat(heading_of(line, i), F.lit("\n"), line)).otherwise(line))
+    return docs.select("doc_id", F.format_string("doc_%d.md", "doc_id").alias("filename"), F.array_join(headed, "\n").alias("text"))
+
+
 def fenced_ranges(lines: Column) -> Column:
     """(first, last) line of each code fence; a fence closes at the same run of marks, or at the end."""
     marks = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_extract(x, FENCE, 1).alias("run"))), lambda m: m["run"] != "")

@@ -40,6 +40,11 @@ def files(spark: SparkSession, d: str) -> DataFrame:
     return headings.synthetic_markdown(docs(spark, d))
 
 
+def whole_files(spark: SparkSession, d: str) -> DataFrame:
+    """For the queries without SQL; the SQL of the others reads the shortened lines."""
+    return headings.whole_markdown(docs(spark, d))
+
+
 def sections(spark: SparkSession, d: str) -> DataFrame:
     return headings.sections(files(spark, d)).withColumn("token_count", T.token_count(F.col("body")))
 
@@ -239,7 +244,7 @@ def title_levels(spark, d):
 
 @query("peel_components")
 def peel_components(spark, d):
-    return tables.peel(tables.with_components(files(spark, d)), limit=60)
+    return tables.peel(tables.with_components(whole_files(spark, d)), limit=60)
 
 
 @query("split_tables")
@@ -249,12 +254,12 @@ def split_tables(spark, d):
 
 @query("toc_align")
 def toc_align(spark, d):
-    return toc.align(*toc.synthetic(files(spark, d)))
+    return toc.align(*toc.synthetic(whole_files(spark, d)))
 
 
 @query("clean_files")
 def clean_files(spark, d):
-    return cleaning.clean(files(spark, d))
+    return cleaning.clean(whole_files(spark, d))
 
 
 @query("nearest_heading_above", f"""WITH {SECTIONS} SELECT n.doc_id, CAST(n.i AS INTEGER) AS line, s.heading FROM numbered n JOIN s ON s.doc_id = n.doc_id AND s.ord = n.ord WHERE NOT n.h AND n.i % 5 = 3""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docquarry.functions import text as T
 from docquarry.operators import headings, tables
+from docquarry.plans import registry
 
 
 def sequential(text):
@@ -117,3 +118,18 @@ def test_greedy_and_balanced(spark):
     assert got == [[(0, 10, 2, False), (1, 5, 1, False), (2, 30, 1, True), (3, 1, 1, False)], []]
     cut = [r.c for r in spark.createDataFrame([([300, 300],), ([100],), ([480, 30, 90],)], "s array<int>").select(tables.balanced_cut(F.col("s"), 490, 900).alias("c")).collect()]
     assert cut == [1, None, 1]
+
+
+def test_whole_lines_stay_below_their_headings(spark):
+    lines = [f"line {i} " + "word " * 30 + f"end{i}" for i in range(12)]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.text.split("\n") for r in headings.whole_markdown(df).collect()}
+    assert [x for x in got[1] if not x.startswith("#")] == lines and sum(x.startswith("#") for x in got[1]) == 3
+
+
+@pytest.mark.parametrize("name", ["clean_files", "toc_align", "peel_components"])
+def test_queries_without_sql_read_whole_lines(spark, tmp_path, name):
+    text = "\n".join(f"Line {i} is prose of many plain words before its own ending tail{i}." for i in range(12))
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = " ".join(str(v) for r in registry.queries()[name](spark, str(tmp_path)).collect() for v in r)
+    assert all(f"tail{i}." in out for i in range(12))
