@@ -122,7 +122,8 @@ IN_WORDS = re.compile(rf"(?<=[A-Za-z0-9])(\s{_AT}\s)(?=[A-Za-z0-9-]{{1,63}}(?:\s
 DOT_IN_LOCAL = re.compile(rf"(?<=[A-Za-z0-9])\s{_DOT}\s(?=[A-Za-z0-9._%+-]{{1,64}}@)", re.I)
 DOT_IN_DIGITS = re.compile(rf"(?<=[0-9])\s{_DOT}\s(?=[0-9])", re.I)
 DOT_WORD = re.compile(rf"(?<=[A-Za-z0-9])\s{_DOT}\s(?=[A-Za-z0-9])", re.I)
-HINT = re.compile(rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]|\s(?:{_DOT})\s|(?<![^\W_])(?:{_WORD})[ -](?:{_WORD}|[0-9])|[0-9][ -](?:{_WORD})(?![^\W_])", re.I)
+#: Matches in every plain text in which some pattern above does: a case for each of them.
+HINT = re.compile(rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]|\s(?:{_DOT})\s|{IN_WORDS.pattern}|{PLUS.pattern}|(?<![^\W_])(?:{_WORD})[ -](?:{_WORD}|[0-9])|[0-9][ -](?:{_WORD})(?![^\W_])", re.I)
 
 
 class Tape:

@@ -52,6 +52,23 @@ def test_disguises(text, found):
     assert pii.written(pii.spans_of(text)[1]) == found
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("mail john.smith at example.com today", "email:5:30"), ("call plus 49 30 1234567 now", "phone:5:23"), ("call plus49 30 1234567", "phone:5:22"),
+    ("write john dot smith at example dot co dot uk now", "email:6:45"), ("4111 1111 1111 one one one one", "card:0:30"), ("10 dot 0 dot 0 dot 7", "ip:0:20"), ("john [at] example.com", "email:0:21"),
+])
+def test_a_hint_elsewhere_changes_no_spans(text, found):
+    for tail in ("", " \u2013", "\xa0", " (dot) ", " one two"):
+        assert pii.written(pii.spans_of(text + " and so on" + tail)[1]) == found
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.sampled_from(["john", " at ", " dot ", "[at]", "(dot)", "com", "five ", "one-", "plus ", "plus", "+1 ", "@", ".", " ", "1111", "a", "\n"]), max_size=20).map("".join))
+def test_the_hint_misses_no_rewriting(text):
+    if pii.HINT.search(text) is None:
+        hits = (pii.BRACKETED, pii.IN_WORDS, pii.DOT_IN_LOCAL, pii.DOT_IN_DIGITS, pii.NUMBER_RUN, pii.PLUS)
+        assert not any(p.search(text) for p in hits) and not pii.dots_after_at(text)
+
+
 def test_rows_and_redaction(spark):
     rows = [(1, "a@b.cd 1.2.3.4"), (1, "a@b.cd 1.2.3.4"), (None, None), (2, ""), (3, "x" * 200_000 + " é a@b.cd")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as spans")
