@@ -1,20 +1,22 @@
-"""Near copies by wide SimHash: texts whose five-word shingles agree to 0.8 or more.
-
-A fingerprint of 64 bits cannot tell texts apart that differ in every fiftieth
-word: their fingerprints differ in 5 to 14 bits. So a text here has ``BLOCKS``
-partitions of 32 bits from SimHashes of its distinct words, on which such texts
-differ in about 7 of 100 bits and unrelated ones in 40 or more. By the
-generalised pigeonhole principle with a threshold of 0 for every partition,
-texts within BLOCKS - 1 differing bits must agree on a whole partition; texts
-at a similarity of 0.8 do so with a chance of over 0.99 (1 - (1 - 0.934^32)^48).
-
-Texts of the same words are one node. Nodes that agree on a partition are
-candidates of one node of that group, its hub: the node that shares its
-partitions with most others, which is the original that the others were made
-from, if it is there. So candidates stay linear in the nodes however large a
-group is; each is verified by the Jaccard similarity of its whole texts'
-shingles. Then hubs and the nodes that were linked leave, the rest of each group
-gets a new hub, and so on until a round links none.
+"""Near copies by MinHash: texts whose five-word shingles agree to 0.8 or more.
+
+A text has ``BANDS`` bands of ``ROWS`` minima of hashes of its shingles. Two
+texts agree on a minimum with a chance equal to their similarity, wherever the
+words lie in which they differ; so at a similarity of 0.8 they agree on a whole
+band with a chance of 0.9999 (1 - (1 - 0.8^5)^24), and at 0.3 with one of 0.06.
+
+Texts of the same words are one node. Nodes that agree on a band are a group.
+In a group of up to ``FEW`` all pairs are candidates. A larger group has
+candidates of one node only, its hub: the node that shares its bands with most
+others, which is the original that the others were made from, if it is there.
+So candidates stay linear in the nodes however large a group is; each is
+verified by the Jaccard similarity of its whole texts' shingles.
+
+Then the hub leaves, and those linked to it carry its name in this group. A
+group of one name is done; in any other all the rest stay, linked or not, and
+are split by one further minimum, on which near copies agree again with a
+chance of 0.8 in each of the groups that they share. So it goes on until no
+group with two names is left.
 
 Cases: texts without words are copies of each other; a text of fewer words than
 a shingle is one shingle; case of A-Z and the kind of white space do not count;
@@ -32,29 +34,38 @@ from pyspark.sql import functions as F
 from docquarry import scratch
 from docquarry.llm import common, components
 
-BLOCKS = 48
+BANDS, ROWS = 24, 5
+FEW = 4
 WIDTH = 5
 LEAST = 0.8
-_MIX = np.random.default_rng(23).integers(1, 2**63, BLOCKS // 2, dtype=np.uint64) | np.uint64(1)
+_RNG = np.random.default_rng(23)
+_TIMES, _PLUS = (_RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def blocks(words: list[bytes]) -> list[int]:
-    """The partitions of the SimHash of the distinct words, as signed 32-bit integers."""
-    h = np.array([xxhash.xxh64_intdigest(w, 42) for w in set(words)], dtype=np.uint64)
-    if not len(h):
-        return [0] * BLOCKS
-    ones = np.zeros((len(_MIX), 64), dtype=np.int64)
-    for at in range(0, len(h), 4096):
-        z = h[at : at + 4096][None, :] * _MIX[:, None]
-        z ^= z >> np.uint64(29)
-        z *= np.uint64(0xBF58476D1CE4E5B9)
-        z ^= z >> np.uint64(32)
-        ones += np.unpackbits(z.view(np.uint8).reshape(len(_MIX), -1, 8), axis=2).sum(axis=1, dtype=np.int64)
-    return np.packbits(2 * ones > len(h), axis=1).reshape(-1).view("<i4").tolist()
+def hashes(words: list[bytes], width: int = WIDTH) -> np.ndarray:
+    """A 64-bit hash of each shingle, in order: a polynomial in its words' hashes, mixed."""
+    w = np.array([xxhash.xxh64_intdigest(x, 42) for x in words], dtype=np.uint64)
+    n = max(1, len(w) - width + 1)
+    h = np.full(n, len(w[:width]), dtype=np.uint64)
+    for k in range(min(width, len(w))):
+        h = h * _BASE + w[k : k + n]
+    for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(times)
+    return h ^ (h >> np.uint64(31))
+
+
+def signature(words: list[bytes]) -> np.ndarray:
+    """The upper 32 bits of the minima of the shingles' hashes, as signed integers."""
+    h = hashes(words)
+    least = np.full(len(_TIMES), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(h), 512):
+        np.minimum(least, (h[at : at + 512][None, :] * _TIMES[:, None] + _PLUS[:, None]).min(axis=1), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def shingles(text: str, width: int = WIDTH) -> set[bytes]:
@@ -69,15 +80,15 @@ def similarity(a: str, b: str, width: int = WIDTH) -> float:
 
 
 def prints(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, keys): a digest of the words in order, and the partitions."""
+    """(doc_id, same, minima): a digest of the words in order, and the minima."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = [words_of(t) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array([xxhash.xxh3_128_hexdigest(b" ".join(w)) for w in words], pa.string()), pa.array([blocks(w) for w in words], pa.list_(pa.int32())),
-        ], ["doc_id", "same", "keys"])
+            batch.column("doc_id"), pa.array([xxhash.xxh3_128_hexdigest(b" ".join(w)) for w in words], pa.string()), pa.array([signature(w) for w in words], pa.list_(pa.int32())),
+        ], ["doc_id", "same", "minima"])
 
-    return common.map_batches(common.text_columns(docs), run, "doc_id long, same string, keys array<int>")
+    return common.map_batches(common.text_columns(docs), run, "doc_id long, same string, minima array<int>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -94,27 +105,37 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
 def links(docs: DataFrame) -> DataFrame:
     """Edges (a, b) between doc_ids: exact copies and verified near copies."""
     named = docs.where(F.col("doc_id").isNotNull())
-    made = scratch.materialize(prints(named), "wide")
-    nodes = made.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"))  # equal digests have equal partitions
-    nodes = scratch.materialize(nodes, "wide-nodes")
-    keyed = nodes.select("id", F.posexplode("keys").alias("block", "key")).select("id", F.shiftleft(F.col("block").cast("long"), 32).bitwiseOR(F.col("key").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("k"))
+    made = scratch.materialize(prints(named), "minima")
+    nodes = made.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("minima").alias("minima"))  # equal digests have equal minima
+    nodes = scratch.materialize(nodes, "near-nodes")
+    bands = F.array(*(F.xxhash64(F.lit(b), F.slice("minima", b * ROWS + 1, ROWS)) for b in range(BANDS)))
     texts = named.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     edges = made.join(nodes.select("same", "id"), "same").where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    left, done = scratch.materialize(keyed, "wide-keys"), None
+    # name: the node itself, or the last hub of the group that it was linked to
+    left, tried = scratch.materialize(nodes.select("id", F.explode(bands).alias("k"), F.col("id").alias("name")), "near-keys"), None
     while True:
-        groups = left.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-        shared = scratch.materialize(left.join(groups, "k"), "wide-shared")
+        groups = left.groupBy("k").agg(F.count("*").alias("n"), F.min("name").alias("x"), F.max("name").alias("y")).where("x <> y")
+        shared = scratch.materialize(left.join(groups.select("k", "n"), "k"), "near-shared")
+        if shared.isEmpty():
+            return edges
         known = shared.groupBy("id").agg(F.sum("n").alias("known"))
-        hubs = shared.join(known, "id").groupBy("k").agg(F.max(F.struct("known", (-F.col("id")).alias("least"))).alias("m")).select("k", (-F.col("m.least")).alias("hub"))
-        others = scratch.materialize(shared.join(hubs, "k").where("id <> hub").select("id", "k", "hub"), "wide-others")
-        pairs = others.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
-        pairs = scratch.materialize(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "wide-pairs")
-        tried = scratch.materialize(verified(pairs, texts), "wide-tried")
-        near, far = tried.where("near").select("a", "b"), tried.where(~F.col("near")).select("a", "b")
-        if near.isEmpty():
-            break
-        edges = edges.union(near)
-        done = far if done is None else done.union(far)
-        linked = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-        left = scratch.materialize(others.select("id", "k").join(linked, "id", "left_anti"), "wide-keys")
-    return edges
+        large = shared.where(F.col("n") > FEW)
+        hubs = large.join(known, "id").groupBy("k").agg(F.max(F.struct("known", (-F.col("id")).alias("least"), "name")).alias("m")).select("k", (-F.col("m.least")).alias("hub"), F.col("m.name").alias("hub_name"))
+        others = scratch.materialize(large.join(hubs, "k").where("id <> hub"), "near-others")
+        few = shared.where(F.col("n") <= FEW)
+        small = few.groupBy("k").agg(F.collect_list(F.struct("id", "name")).alias("g")).select(F.explode("g").alias("p"), "g").select("p", F.explode("g").alias("q")).where("p.id > q.id and p.name <> q.name")
+        asked = others.where("name <> hub_name").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
+        pairs = asked.union(small.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))).distinct()
+        pairs = scratch.materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        ours = texts
+        if tried is not None:  # few are left: only their texts are moved
+            ours = scratch.materialize(texts.join(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "id", "left_semi"), "near-texts")
+        now = scratch.materialize(verified(pairs, ours), "near-tried")
+        edges = edges.union(now.where("near").select("a", "b"))
+        tried = now if tried is None else tried.union(now)
+        near = tried.where("near").select(F.col("a").alias("ga"), F.col("b").alias("gb"))
+        linked = others.join(near, (F.greatest("id", "hub") == F.col("ga")) & (F.least("id", "hub") == F.col("gb")), "left")
+        linked = linked.select("id", "k", F.when(F.col("ga").isNotNull(), F.col("hub_name")).otherwise(F.col("name")).alias("name"))
+        place = (F.pmod(F.xxhash64("k", F.lit(7)), F.lit(BANDS * ROWS)) + 1).cast("int")
+        left = linked.join(nodes.select("id", "minima"), "id").select("id", F.xxhash64("k", F.element_at("minima", place)).alias("k"), "name")
+        left = scratch.materialize(left, "near-keys")

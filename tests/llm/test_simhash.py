@@ -135,3 +135,27 @@ def test_near_copies_have_one_hub_and_lose_few(spark):
     kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows + alone, "doc_id long, text string")).collect()}
     assert {d for d, _ in alone} <= kept
     assert sum(a in kept and b in kept for a, b in wanted) <= 0.01 * len(wanted)
+
+
+def test_near_copies_with_a_piece_added_or_cut_off_are_linked(spark):
+    rng = np.random.default_rng(31)
+    rows, wanted = [], set()
+    for n in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 100_000, 245)]
+        rows += [(2 * n, " ".join(words[:200])), (2 * n + 1, " ".join(words if n % 2 else words[:165]))]
+        wanted.add((2 * n + 1, 2 * n))
+    texts = dict(rows)
+    assert all(near_copies.similarity(texts[a], texts[b]) >= 0.8 for a, b in wanted)
+    got = {(max(r), min(r)) for r in near_copies.links(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == wanted
+
+
+def test_near_copies_of_one_vocabulary_are_linked_whatever_the_other_rows(spark):
+    rng = np.random.default_rng(37)
+    words = [f"w{x}" for x in range(120)]
+    rows = [(n, " ".join(rng.permutation(words))) for n in range(12)]
+    swapped = rows[7][1].split()
+    swapped[0], swapped[1] = swapped[1], swapped[0]
+    rows.append((12, " ".join(swapped)))
+    got = {(max(r), min(r)) for r in near_copies.links(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(12, 7)}
