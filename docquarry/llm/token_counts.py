@@ -1,19 +1,25 @@
 """Token counts by a finite-state tokenizer.
 
 A byte-pair vocabulary is compiled, as texts need it, into a deterministic
-transducer over the symbols of a word. The state after a prefix holds the last
-token of each recent prefix; a transition reads one symbol and is annotated
-with the change of the number of emitted tokens. It rests on a property of
-byte-pair merges: a sequence of tokens is the encoding of its text exactly if
-every two neighbours encode to themselves, so the last token of a prefix is the
-one suffix token that is compatible with the last token before it.
-
-Texts are read in chunks. White space synchronises the transducer, so the state
-map of a chunk (entry state to exit state and count) is fixed by three things:
-the fragment before its first white space, whose emission hangs on the entry
-state, the count in between, and the fragment after the last white space, which
-is the exit state. Maps compose associatively, and a balanced scan composes
-those of all chunks.
+transducer over the symbols of a word. It rests on a property of byte-pair
+merges: a sequence of tokens is the encoding of its text exactly if every two
+neighbours encode to themselves, so the last token of a prefix is the one suffix
+token that is compatible with the last token before it. A state holds, for each
+recent place where a token that may still grow has begun, that token's node in
+the trie of the vocabulary, the last token before the place, and how many tokens
+fewer there were. Whatever else the words before have been is forgotten, so few
+states serve many words. A transition reads one symbol and is annotated with the
+change of the number of emitted tokens.
+
+Texts are read in chunks, each with its state map: entry state to exit state and
+count. White space takes every state back to the start, so what lies between two
+gaps has one count whatever the entry state, and those counts are kept for the
+words as written. Only what stands before a chunk's first gap depends on the
+entry state, and only what stands after its last gap on the exit state. A chunk
+without a gap is read from the states that can be alive at its border: those
+that the last characters before it lead to. Maps compose associatively, and a
+balanced scan composes those of all chunks; should a composition need another
+entry state, the map is extended by it, reading on until the states meet.
 
 Cases: a null or empty text has 0 tokens; a null doc_id is passed on; repeated
 rows give a row each; an empty table gives an empty result; other columns are
@@ -38,9 +44,11 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 ODD = re.compile("[\x1c-\x1f]")  # white space for str.split, symbols for the vocabulary
 GAPS = re.compile(f"[{SPACE}]+")
+LETTERS, DIGITS = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
 MOST_STATES = 200_000
 MOST_WORDS = 400_000
-CHUNK = 1 << 16
+CHUNK = 1 << 16  # characters
+BEHIND = 64  # characters before a border that are read to guess the states alive at it
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -73,20 +81,26 @@ class Transducer:
             left, right = (own(x) for x in (merge.split(" ") if isinstance(merge, str) else merge))
             self.rank[left, right] = at
             self.made.setdefault(left + right, (at, left, right))
-        self.longest = max(map(len, self.made), default=1)
+        # the trie: a node's transitions, and the token that ends there
+        self.nodes: list[dict[str, int]] = [{}]
+        self.token: list[str | None] = [None]
+        for token in self.made:
+            node, body = 0, token.removesuffix(END)
+            for symbol in [*body[:-1], body[-1] + END] if body != token else body:
+                if symbol not in self.nodes[node]:
+                    self.nodes[node][symbol] = len(self.nodes)
+                    self.nodes.append({})
+                    self.token.append(None)
+                node = self.nodes[node][symbol]
+            self.token[node] = token
         self.fits: dict[tuple[str, str], bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        """Back to the start state alone.
-
-        A state holds the recent symbols, the last token of each recent prefix and
-        their counts. Up to ``longest`` symbols that is the whole prefix, which
-        names the state; beyond, equal windows are one state, with counts relative
-        to the newest.
-        """
-        self.states: list[tuple[str, tuple[str, ...], tuple[int, ...]]] = [("", ("",), (0,))]
-        self.known: dict[tuple, int] = {}
+        """Back to the start state alone."""
+        start = ((0, "", 0),)
+        self.states: list[tuple[tuple[int, str, int], ...]] = [start]
+        self.known: dict[tuple, int] = {start: 0}
         self.step: list[dict[str, tuple[int, int]]] = [{}]
 
     def compatible(self, left: str, right: str) -> bool:
@@ -116,34 +130,28 @@ class Transducer:
             else:
                 before, b = rb + 1, self.made[b][1]  # of equal merges the left one goes first
 
-    def emit(self, state: int, symbol: str) -> tuple[str, int]:
-        """The last token after a symbol, and the change of the count."""
-        tail, last, counts = self.states[state]
-        text, size, made = tail + symbol, len(tail), self.made
-        for start in range(max(0, len(text) - self.longest), size):
-            token = text[start:]
-            if token in made and size - start < len(last):
-                before = last[start - size - 1]
-                if not before or self.compatible(before, token):
-                    return token, counts[start - size - 1] + 1 - counts[-1]
-        return symbol, 1
-
     def advance(self, state: int, symbol: str) -> tuple[int, int]:
-        """The next state and the change of the count; both are kept."""
-        token, delta = self.emit(state, symbol)
-        text, last, counts = self.states[state]
-        key = (text + symbol, (*last, token), (*counts, counts[-1] + delta))
-        to = None
-        if len(key[0]) > self.longest:
-            w = self.longest
-            key = (key[0][-w:], key[1][-w - 1 :], tuple(c - key[2][-1] for c in key[2][-w - 1 :]))
+        """The next state and the change of the count; both are kept. A symbol with the end mark leads back to the start."""
+        nodes, token, grown, last, delta = self.nodes, self.token, [], symbol, None
+        for node, before, fewer in self.states[state]:  # the longest first
+            then = nodes[node].get(symbol)
+            if then is None:
+                continue
+            made = token[then]
+            if delta is None and made is not None and (not before or self.compatible(before, made)):
+                last, delta = made, fewer + 1
+            if nodes[then]:
+                grown.append((then, before, fewer))
+        if delta is None:
+            delta = 1
+        to = 0
+        if symbol[-1] != END or len(symbol) == 1:
+            key = (*((then, before, fewer - delta) for then, before, fewer in grown), (0, last, 0))
             to = self.known.get(key)
-        if to is None:
-            to = len(self.states)
-            if len(key[0]) >= self.longest:
-                self.known[key] = to
-            self.states.append(key)
-            self.step.append({})
+            if to is None:
+                to = self.known[key] = len(self.states)
+                self.states.append(key)
+                self.step.append({})
         self.step[state][symbol] = (to, delta)
         return to, delta
 
@@ -151,20 +159,55 @@ class Transducer:
         """Tokens of a word given as bytes in characters; its last symbol bears the end mark."""
         if len(self.states) > MOST_STATES:
             self.reset()
-        state = total = 0
+        state, total, step = 0, 0, self.step
         for symbol in word[:-1]:
-            found = self.step[state].get(symbol)
-            if found is None:
-                found = self.advance(state, symbol)
-            state, delta = found
+            state, delta = step[state].get(symbol) or self.advance(state, symbol)
             total += delta
-            if len(self.states) > 2 * MOST_STATES:  # within one very long word: go on from this state alone
-                here = self.states[state]
-                self.reset()
-                self.states.append(here)
-                self.step.append({})
-                self.known[here] = state = 1
-        return total + self.emit(state, word[-1] + END)[1]
+        symbol = word[-1] + END
+        return total + (step[state].get(symbol) or self.advance(state, symbol))[1]
+
+
+#: A place between two characters: the class of the piece that is open there, the transducer's state before that piece's last symbol, and that symbol.
+Place = tuple[str, int, str]
+START: Place = ("", 0, "")
+LETTER, DIGIT, OTHER = "L", "N", "O"
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
+class StateMap:
+    """Of a chunk: entry place to exit place and count, for the entries asked for so far."""
+
+    def __init__(self, counter: TokenCounter, parts: tuple[str, int | None, str], entries: set[Place]):
+        self.counter, self.parts, self.known = counter, parts, {}
+        for entry in entries:
+            self(entry)
+
+    def __call__(self, entry: Place) -> tuple[Place, int]:
+        if entry not in self.known:
+            head, between, tail = self.parts
+            place, count = self.counter.read(entry, head)
+            if between is not None:
+                count += self.counter.close(place) + between
+                place, more = self.counter.read(START, tail)
+                count += more
+            self.known[entry] = place, count
+        return self.known[entry]
+
+
+class Composed:
+    """The map of two neighbours."""
+
+    def __init__(self, first: StateMap | Composed, second: StateMap | Composed):
+        self.first, self.second, self.known = first, second, {}
+        for entry in first.known:
+            self(entry)
+
+    def __call__(self, entry: Place) -> tuple[Place, int]:
+        if entry not in self.known:
+            place, a = self.first(entry)
+            place, b = self.second(place)
+            self.known[entry] = place, a + b
+        return self.known[entry]
 
 
 class TokenCounter:
@@ -178,6 +221,7 @@ class TokenCounter:
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.words: dict[str, int] = {}
         self.chunks: dict[str, int] = {}
+        self.kinds: dict[str, str] = {}
 
     def word(self, word: str) -> int:
         n = self.words.get(word)
@@ -200,26 +244,73 @@ class TokenCounter:
                 self.chunks[chunk] = n
         return n
 
-    def state_map(self, chunk: str) -> tuple[str, int | None, str]:
-        """(fragment before the first gap, tokens between, fragment after the last gap); without a gap the count is None."""
-        parts = GAPS.split(chunk) if ODD.search(chunk) else chunk.split()
-        if not parts:
+    def parts(self, chunk: str) -> tuple[str, int | None, str]:
+        """(what stands before the first gap, tokens between, what stands after the last gap); without a gap the count is None."""
+        found = GAPS.split(chunk) if ODD.search(chunk) else chunk.split()
+        if not found:
             return ("", 0, "") if chunk else ("", None, "")
-        if len(parts) == 1 and not GAPS.search(chunk):
-            return parts[0], None, ""
-        head = "" if GAPS.match(chunk[0]) else parts.pop(0)
-        tail = "" if GAPS.match(chunk[-1]) or not parts else parts.pop()
-        known = self.chunks
-        return head, sum(known[p] if p in known else self.unspaced(p) for p in parts), tail
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        if a[1] is None and b[1] is None:
-            return a[0] + b[0], None, ""
-        if a[1] is None:
-            return a[0] + b[0], b[1], b[2]
-        if b[1] is None:
-            return a[0], a[1], a[2] + b[0]
-        return a[0], a[1] + self.unspaced(a[2] + b[0]) + b[1], b[2]
+        if len(found) == 1 and not GAPS.search(chunk):
+            return found[0], None, ""
+        head = "" if GAPS.match(chunk[0]) else found.pop(0)
+        tail = "" if GAPS.match(chunk[-1]) or not found else found.pop()
+        return head, self.between(found), tail
+
+    def between(self, words: list[str]) -> int:
+        known, unspaced = self.chunks, self.unspaced
+        return sum([known[w] if w in known else unspaced(w) for w in words])
+
+    def read(self, place: Place, text: str) -> tuple[Place, int]:
+        """The place after a text without white space, and the tokens that were emitted on the way.
+
+        The open piece's class is one of letters, digits, others, or an apostrophe
+        with what has followed it while an ending (as in don't) may come.
+        """
+        (kind, state, pending), total, step, advance = place, 0, self.transducer.step, self.transducer.advance
+        for c in text:
+            now = self.kind(c)
+            if kind[:1] == "'":  # after an apostrophe that began a piece
+                seen = kind[1:] + c
+                if any(e.startswith(seen) for e in ENDINGS):
+                    if seen in ENDINGS:
+                        total += self.word("'" + seen)
+                        kind, state, pending = START
+                    else:
+                        kind += c
+                    continue
+                if len(kind) == 1 and now == OTHER:
+                    kind = OTHER  # an ordinary piece, of which the apostrophe is the open symbol
+                else:
+                    total += self.word("'")
+                    kind, state, pending = (LETTER, 0, kind[1:]) if len(kind) > 1 else START
+            if pending and (now != kind or now == DIGIT):
+                total += (step[state].get(pending + END) or advance(state, pending + END))[1]
+                kind, state, pending = START
+            if not pending and c == "'":
+                kind, pending = c, c
+                continue
+            symbols = c if c.isascii() else c.encode().decode("latin-1")
+            for symbol in symbols:
+                if pending:
+                    state, delta = step[state].get(pending) or advance(state, pending)
+                    total += delta
+                pending = symbol
+            kind = now
+        return (kind, state, pending), total
+
+    def close(self, place: Place) -> int:
+        """Tokens that the end of a text or a gap emits."""
+        kind, state, pending = place
+        if kind[:1] == "'":
+            return self.word("'") + (self.word(kind[1:]) if len(kind) > 1 else 0)
+        if not pending:
+            return 0
+        return (self.transducer.step[state].get(pending + END) or self.transducer.advance(state, pending + END))[1]
+
+    def kind(self, c: str) -> str:
+        found = self.kinds.get(c)
+        if found is None:
+            found = self.kinds[c] = LETTER if LETTERS.match(c) else DIGIT if DIGITS.match(c) else OTHER
+        return found
 
     def normal(self, text: str) -> str:
         if not text.isascii():
@@ -229,11 +320,20 @@ class TokenCounter:
     def plain(self, text: str) -> int:
         """Tokens of a text that holds no special token."""
         text = self.normal(text)
-        maps = [self.state_map(text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)] or [("", None, "")]
+        if len(text) <= CHUNK and not ODD.search(text):  # one chunk, read from the start and closed at its end
+            return self.between(text.split())
+        if len(self.transducer.states) > MOST_STATES:
+            self.transducer.reset()
+        maps: list[StateMap | Composed] = []
+        for at in range(0, len(text), CHUNK):
+            parts = self.parts(text[at : at + CHUNK])
+            behind = self.parts(text[max(0, at - BEHIND) : at])
+            alive = self.read(START, behind[0] if behind[1] is None else behind[2])[0]
+            maps.append(StateMap(self, parts, {alive}))
         while len(maps) > 1:  # a balanced scan: each level composes neighbours
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        head, count, tail = maps[0]
-        return self.unspaced(head) + (count or 0) + self.unspaced(tail)
+            maps = [Composed(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        place, count = maps[0](START) if maps else (START, 0)
+        return count + self.close(place)
 
     def count(self, text: str) -> int:
         if self.special is None or "<|" not in text:
