@@ -187,5 +187,5 @@ def safe_int(value: Column) -> Column:
 
 def title_key(title: Column) -> Column:
     """A heading's key for matching: leading numbering goes, lower case, whatever is no letter or digit is one space."""
-    bare = F.regexp_replace(F.trim(title), r"^(?:(?:chapter|section|appendix)\s+)?(?:\d+(?:\.\d+)*[.):]?|[A-Za-z][.):]|[IVXLC]+[.):])\s+", "")
+    bare = F.regexp_replace(F.trim(title), r"(?i)^(?:(?:chapter|section|appendix)\s+)?(?:\d+(?:\.\d+)*[.):]?|[A-Za-z][.):]|[IVXLC]+[.):])\s+", "")
     return F.trim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}]+", " "))

@@ -25,14 +25,7 @@ def heading_of(line: Column, i: Column) -> Column:
 
 
 def synthetic_markdown(docs: DataFrame) -> DataFrame:
-    """Documents of plain prose as markdown files: the start of every fifth line becomes a heading and its rest is dropped, as in the queries' SQL."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    promoted = lambda line, i: F.when(i % 5 == 0, heading_of(line, i)).otherwise(line)
-    return docs.select("doc_id", F.format_string("doc_%d.md", "doc_id").alias("filename"), F.array_join(F.transform(lines, promoted), "\n").alias("text"))
-
-
-def whole_markdown(docs: DataFrame) -> DataFrame:
-    """The same headings, each put before the whole of its line."""
+    """Documents of plain prose as markdown files: before every fifth line stands a heading made of its start."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     headed = F.transform(lines, lambda line, i: F.when(i % 5 == 0, F.concat(heading_of(line, i), F.lit("\n"), line)).otherwise(line))
     return docs.select("doc_id", F.format_string("doc_%d.md", "doc_id").alias("filename"), F.array_join(headed, "\n").alias("text"))

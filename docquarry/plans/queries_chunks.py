@@ -12,9 +12,10 @@ from docquarry.operators import cleaning, filters, headings, summaries, tables,
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-LINES = """lines AS (
-  SELECT doc_id, 'doc_' || doc_id || '.md' AS filename, i, CASE WHEN i % 5 = 0 THEN repeat('#', CAST(1 + (doc_id + i // 5) % 4 AS INTEGER)) || ' ' || substr(line, 1, 40) ELSE line END AS line
-  FROM (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)))"""
+LINES = """raw AS (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+lines AS (
+  SELECT doc_id, 'doc_' || doc_id || '.md' AS filename, i + i // 5 + 1 AS i, line FROM raw
+  UNION ALL SELECT doc_id, 'doc_' || doc_id || '.md', i + i // 5, repeat('#', CAST(1 + (doc_id + i // 5) % 4 AS INTEGER)) || ' ' || substr(line, 1, 40) FROM raw WHERE i % 5 = 0)"""
 SECTIONS = LINES + r""",
 marked AS (SELECT *, regexp_matches(line, '^#{1,6}\s+\S') AS h FROM lines),
 numbered AS (SELECT *, sum(CASE WHEN h THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS ord FROM marked),
@@ -40,11 +41,6 @@ def files(spark: SparkSession, d: str) -> DataFrame:
     return headings.synthetic_markdown(docs(spark, d))
 
 
-def whole_files(spark: SparkSession, d: str) -> DataFrame:
-    """For the queries without SQL; the SQL of the others reads the shortened lines."""
-    return headings.whole_markdown(docs(spark, d))
-
-
 def sections(spark: SparkSession, d: str) -> DataFrame:
     return headings.sections(files(spark, d)).withColumn("token_count", T.token_count(F.col("body")))
 
@@ -235,16 +231,14 @@ def balanced_splits(spark, d):
     return docs(spark, d).select("doc_id", tables.balanced_cut(sizes, 490, 900).alias("cut")).where("cut is not null")
 
 
-@query("title_levels", f"WITH {SECTIONS} SELECT lower(trim(regexp_replace(heading, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) AS title_key, min(level) AS level FROM s WHERE NOT regexp_matches(trim(heading), '^(?:(?:chapter|section|appendix)\\s+)?(?:\\d+(?:\\.\\d+)*[.):]?|[A-Za-z][.):]|[IVXLC]+[.):])\\s+') GROUP BY 1")
+@query("title_levels", f"WITH {SECTIONS} SELECT trim(regexp_replace(lower(regexp_replace(trim(heading), '(?i)^(?:(?:chapter|section|appendix)\\s+)?(?:\\d+(?:\\.\\d+)*[.):]?|[A-Z][.):]|[IVXLC]+[.):])\\s+', '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS title_key, min(level) AS level FROM s GROUP BY 1")
 def title_levels(spark, d):
-    numbered = r"^(?:(?:chapter|section|appendix)\s+)?(?:\d+(?:\.\d+)*[.):]?|[A-Za-z][.):]|[IVXLC]+[.):])\s+"
-    rows = sections(spark, d).where(~F.trim("heading").rlike(numbered))
-    return toc.title_levels(rows.select(F.col("heading").alias("title"), "level"))
+    return toc.title_levels(sections(spark, d).select(F.col("heading").alias("title"), "level"))
 
 
 @query("peel_components")
 def peel_components(spark, d):
-    return tables.peel(tables.with_components(whole_files(spark, d)), limit=60)
+    return tables.peel(tables.with_components(files(spark, d)), limit=60)
 
 
 @query("split_tables")
@@ -254,19 +248,19 @@ def split_tables(spark, d):
 
 @query("toc_align")
 def toc_align(spark, d):
-    return toc.align(*toc.synthetic(whole_files(spark, d)))
+    return toc.align(*toc.synthetic(files(spark, d)))
 
 
 @query("clean_files")
 def clean_files(spark, d):
-    return cleaning.clean(whole_files(spark, d))
+    return cleaning.clean(files(spark, d))
 
 
-@query("nearest_heading_above", f"""WITH {SECTIONS} SELECT n.doc_id, CAST(n.i AS INTEGER) AS line, s.heading FROM numbered n JOIN s ON s.doc_id = n.doc_id AND s.ord = n.ord WHERE NOT n.h AND n.i % 5 = 3""")
+@query("nearest_heading_above", f"""WITH {SECTIONS} SELECT n.doc_id, CAST(n.i AS INTEGER) AS line, s.heading FROM numbered n JOIN s ON s.doc_id = n.doc_id AND s.ord = n.ord WHERE NOT n.h""")
 def nearest_heading_above(spark, d):
-    """As-of: for each line that stands for a table, the last heading at or above it."""
+    """As-of: for each line below a heading, the last heading above it."""
     raw = files(spark, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
     back = W.partitionBy("doc_id").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
     is_head = F.col("t").rlike(headings.HEADING)
     rows = raw.withColumn("heading", F.last(F.when(is_head, F.trim(F.regexp_extract("t", r"^#+\s+(.*)$", 1))), ignorenulls=True).over(back))
-    return rows.where(~is_head & (F.col("line") % 5 == 3) & F.col("heading").isNotNull()).select("doc_id", "line", "heading")
+    return rows.where(~is_head & F.col("heading").isNotNull()).select("doc_id", "line", "heading")

@@ -135,10 +135,10 @@ def sitemap_urls(spark, d):
     return found.select("sitemap", F.explode("locs").alias("url")).groupBy("sitemap").agg(F.count("*").alias("n_urls"), F.min("url").alias("first_url"))
 
 
-@query("sitemap_union", "WITH a AS (SELECT url, 0 AS list, page_id AS pos FROM pages WHERE page_id % 3 = 0), b AS (SELECT url, 1, page_id FROM pages WHERE page_id % 2 = 0) SELECT url, min_by(list, list * 1000000000 + pos) AS list, min_by(pos, list * 1000000000 + pos) AS pos FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY url")
+@query("sitemap_union", "WITH a AS (SELECT url, 0 AS list, page_id AS pos FROM pages WHERE page_id % 3 = 0), b AS (SELECT url, 1, page_id FROM pages WHERE page_id % 3 <> 0 OR page_id % 2 = 0) SELECT url, min_by(list, list * 1000000000 + pos) AS list, min_by(pos, list * 1000000000 + pos) AS pos FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY url")
 def sitemap_union(spark, d):
     rows = pages(spark, d).select("url", F.col("page_id").alias("pos"))
-    return filters.ordered_distinct(rows.where("pos % 3 = 0"), rows.where("pos % 2 = 0"))
+    return filters.ordered_distinct(rows.where("pos % 3 = 0"), rows.where("pos % 3 <> 0 or pos % 2 = 0"))
 
 
 @query("kept_pages", "SELECT page_id AS page FROM pages WHERE page_id >= 3 AND page_id < greatest(3, (SELECT max(page_id) + 1 FROM pages) - 5) AND NOT (page_id + 1 BETWEEN 10 AND 20) AND NOT (page_id + 1 BETWEEN 40 AND 45)")
@@ -209,9 +209,12 @@ def collapsed_space(spark, d):
     return docs(spark, d).select("doc_id", T.collapse_space(F.replace("text", F.lit(" "), F.lit("  \t"))).alias("text"))
 
 
-@query("human_sizes", "SELECT doc_id, CASE WHEN n_chars < 1024 THEN n_chars || ' B' ELSE round(n_chars / 1024.0, 1) || ' KB' END AS size FROM documents WHERE n_chars < 1000000")
+@query("human_sizes", """WITH n AS (SELECT doc_id, n_chars * CASE doc_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 1000000 ELSE 100000000 END AS n FROM documents)
+SELECT doc_id, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN round(n / 1024.0, 1) || ' KB' WHEN n < 1073741824 THEN round(n / 1048576.0, 1) || ' MB' ELSE round(n / 1073741824.0, 1) || ' GB' END AS size FROM n""")
 def human_sizes(spark, d):
-    return docs(spark, d).where("n_chars < 1000000").select("doc_id", T.human_size(F.col("n_chars")).alias("size"))
+    """The documents' sizes, three of four scaled up so that every unit occurs."""
+    scale = F.element_at(F.array(*(F.lit(x).cast("long") for x in (1, 1000, 1_000_000, 100_000_000))), (F.col("doc_id") % 4 + 1).cast("int"))
+    return docs(spark, d).select("doc_id", T.human_size(F.col("n_chars") * scale).alias("size"))
 
 
 @query("safe_ints", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS INTEGER) ELSE -1 END AS n FROM documents")

@@ -123,7 +123,7 @@ def test_greedy_and_balanced(spark):
 def test_whole_lines_stay_below_their_headings(spark):
     lines = [f"line {i} " + "word " * 30 + f"end{i}" for i in range(12)]
     df = spark.createDataFrame([(1, "\n".join(lines)), (2, None)], "doc_id long, text string")
-    got = {r.doc_id: r.text.split("\n") for r in headings.whole_markdown(df).collect()}
+    got = {r.doc_id: r.text.split("\n") for r in headings.synthetic_markdown(df).collect()}
     assert [x for x in got[1] if not x.startswith("#")] == lines and sum(x.startswith("#") for x in got[1]) == 3
 
 
