@@ -5,22 +5,28 @@ texts agree on a minimum with a chance equal to their similarity, wherever the
 words lie in which they differ; so at a similarity of 0.8 they agree on a whole
 band with a chance of 0.9999 (1 - (1 - 0.8^5)^24), and at 0.3 with one of 0.06.
 
-Texts of the same words are one node. Nodes that agree on a band are a group.
-In a group of up to ``FEW`` all pairs are candidates. A larger group has
-candidates of one node only, its hub: the node that shares its bands with most
-others, which is the original that the others were made from, if it is there.
-So candidates stay linear in the nodes however large a group is; each is
-verified by the Jaccard similarity of its whole texts' shingles.
-
-Then the hub leaves, and those linked to it carry its name in this group. A
-group of one name is done; in any other all the rest stay, linked or not, and
-are split by one further minimum, on which near copies agree again with a
-chance of 0.8 in each of the groups that they share. So it goes on until no
-group with two names is left.
+Texts of the same words are one node. Nodes that agree on a band are a group. A
+group of up to ``BLOCK`` is settled in one step, on its own: its candidates are
+the pairs whose minima agree in ``LIKELY`` of all places or more, which a pair
+of similarity 0.8 misses with a chance of 0.003. Each candidate is verified by
+the Jaccard similarity of the whole texts' shingles.
+
+A larger group is first tried against one node, its hub: the node that shares
+its bands with most others, which is the original that the others were made
+from, if it is there. Those linked to it bear its name in this group. A group of
+one name is done. In one with up to ``FEW`` nodes that are not linked, those meet
+all the others, who are dealt over small groups. In any other all but the hub
+stay, linked or not, and are split by further minima, on each of which near
+copies agree again with a chance of 0.8 in each of the groups that they share.
+So it goes on until every group is small or of one name. Candidates stay linear in the nodes however large a
+group is; in a crowd of texts that are all about 0.8 alike, a link that neither
+the hubs nor a shared small group shows can be missed.
+
+In small groups each node is first tried with its likeliest partner, and only
+what these links have not joined is tried with all the likely ones.
 
 Cases: texts without words are copies of each other; a text of fewer words than
-a shingle is one shingle; case of A-Z and the kind of white space do not count;
-rows without a doc_id take no part; repeated rows are one node.
+a shingle is one shingle; case of A-Z and the kind of white space do not count.
 """
 
 from __future__ import annotations
@@ -35,7 +41,8 @@ from docquarry import scratch
 from docquarry.llm import common, components
 
 BANDS, ROWS = 24, 5
-FEW = 4
+BLOCK, FEW = 96, 24
+LIKELY = 0.7
 WIDTH = 5
 LEAST = 0.8
 _RNG = np.random.default_rng(23)
@@ -79,16 +86,9 @@ def similarity(a: str, b: str, width: int = WIDTH) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def prints(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, minima): a digest of the words in order, and the minima."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [words_of(t) for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array([xxhash.xxh3_128_hexdigest(b" ".join(w)) for w in words], pa.string()), pa.array([signature(w) for w in words], pa.list_(pa.int32())),
-        ], ["doc_id", "same", "minima"])
-
-    return common.map_batches(common.text_columns(docs), run, "doc_id long, same string, minima array<int>")
+def digest(words: list[bytes]) -> str:
+    """Of the words in order: texts that have it in common are one node."""
+    return xxhash.xxh3_128_hexdigest(b" ".join(words))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -102,40 +102,81 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
     return common.map_batches(both.select("a", "b", "x", "y"), run, "a long, b long, near boolean")
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """Edges (a, b) between doc_ids: exact copies and verified near copies."""
-    named = docs.where(F.col("doc_id").isNotNull())
-    made = scratch.materialize(prints(named), "minima")
-    nodes = made.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("minima").alias("minima"))  # equal digests have equal minima
-    nodes = scratch.materialize(nodes, "near-nodes")
+def likely(blocks: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+    """The candidates (a, b) of small groups (id, k, name): pairs of two names whose minima agree in enough places; ``best``: of each node the best of these alone."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = [], []
+        ids, names, minima = (batch.column(c) for c in ("ids", "names", "minima"))
+        ends, flat = ids.offsets.to_numpy(), (ids.values.to_numpy(), names.values.to_numpy(), minima.values.to_numpy())
+        start = minima.offsets.to_numpy()
+        for i in range(len(ids)):
+            own, named = flat[0][ends[i] : ends[i + 1]], flat[1][ends[i] : ends[i + 1]]
+            m = flat[2][start[i] : start[i + 1]].reshape(len(own), -1)
+            x, y = np.triu_indices(len(own), 1)
+            x, y = x[named[x] != named[y]], y[named[x] != named[y]]
+            agreed = (m[x] == m[y]).mean(axis=1)
+            near = agreed >= LIKELY
+            if best:
+                most = np.zeros(len(own))
+                np.maximum.at(most, x, agreed)
+                np.maximum.at(most, y, agreed)
+                near &= (agreed == most[x]) | (agreed == most[y])
+            a.append(np.maximum(own[x[near]], own[y[near]]))
+            b.append(np.minimum(own[x[near]], own[y[near]]))
+        cat = lambda v: pa.array(np.concatenate(v) if v else np.array([], np.int64), pa.int64())
+        return pa.RecordBatch.from_arrays([cat(a), cat(b)], ["a", "b"])
+
+    groups = blocks.join(nodes.select("id", "minima"), "id").groupBy("k").agg(F.collect_list(F.struct("id", "name", "minima")).alias("g"))
+    listed = groups.select(F.col("g.id").alias("ids"), F.col("g.name").alias("names"), F.flatten("g.minima").alias("minima"))
+    return common.map_batches(listed, run, "a long, b long").distinct()
+
+
+def grouped(keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` (id, k, name) whose group has two names at least, with its size n."""
+    groups = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("name").alias("x"), F.max("name").alias("y")).where("x <> y")
+    return scratch.materialize(keys.join(groups.select("k", "n"), "k"), "near-groups")
+
+
+def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified edges (a, b) between the ids of ``nodes`` (id, doc_id, hash, minima), whose texts are those of ``docs`` (doc_id, hash, text)."""
     bands = F.array(*(F.xxhash64(F.lit(b), F.slice("minima", b * ROWS + 1, ROWS)) for b in range(BANDS)))
-    texts = named.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    edges = made.join(nodes.select("same", "id"), "same").where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     # name: the node itself, or the last hub of the group that it was linked to
-    left, tried = scratch.materialize(nodes.select("id", F.explode(bands).alias("k"), F.col("id").alias("name")), "near-keys"), None
-    while True:
-        groups = left.groupBy("k").agg(F.count("*").alias("n"), F.min("name").alias("x"), F.max("name").alias("y")).where("x <> y")
-        shared = scratch.materialize(left.join(groups.select("k", "n"), "k"), "near-shared")
-        if shared.isEmpty():
-            return edges
-        known = shared.groupBy("id").agg(F.sum("n").alias("known"))
-        large = shared.where(F.col("n") > FEW)
+    now = grouped(nodes.select("id", F.explode(bands).alias("k"), F.col("id").alias("name")))
+    blocks, large = now.where(F.col("n") <= BLOCK), now.where(F.col("n") > BLOCK)
+    asked = now.select("id").distinct().join(nodes, "id").select("id", "doc_id", "hash")
+    texts = scratch.materialize(docs.join(asked, ["doc_id", "hash"]).groupBy("id").agg(F.first("text").alias("text")), "near-texts")
+    tried = None
+    while not large.isEmpty():
+        known = large.groupBy("id").agg(F.sum("n").alias("known"))
         hubs = large.join(known, "id").groupBy("k").agg(F.max(F.struct("known", (-F.col("id")).alias("least"), "name")).alias("m")).select("k", (-F.col("m.least")).alias("hub"), F.col("m.name").alias("hub_name"))
         others = scratch.materialize(large.join(hubs, "k").where("id <> hub"), "near-others")
-        few = shared.where(F.col("n") <= FEW)
-        small = few.groupBy("k").agg(F.collect_list(F.struct("id", "name")).alias("g")).select(F.explode("g").alias("p"), "g").select("p", F.explode("g").alias("q")).where("p.id > q.id and p.name <> q.name")
-        asked = others.where("name <> hub_name").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
-        pairs = asked.union(small.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))).distinct()
-        pairs = scratch.materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        ours = texts
-        if tried is not None:  # few are left: only their texts are moved
-            ours = scratch.materialize(texts.join(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "id", "left_semi"), "near-texts")
-        now = scratch.materialize(verified(pairs, ours), "near-tried")
-        edges = edges.union(now.where("near").select("a", "b"))
-        tried = now if tried is None else tried.union(now)
+        pairs = others.where("name <> hub_name").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        found = scratch.materialize(verified(pairs, texts), "near-tried")
+        tried = found if tried is None else tried.union(found)
         near = tried.where("near").select(F.col("a").alias("ga"), F.col("b").alias("gb"))
         linked = others.join(near, (F.greatest("id", "hub") == F.col("ga")) & (F.least("id", "hub") == F.col("gb")), "left")
-        linked = linked.select("id", "k", F.when(F.col("ga").isNotNull(), F.col("hub_name")).otherwise(F.col("name")).alias("name"))
-        place = (F.pmod(F.xxhash64("k", F.lit(7)), F.lit(BANDS * ROWS)) + 1).cast("int")
-        left = linked.join(nodes.select("id", "minima"), "id").select("id", F.xxhash64("k", F.element_at("minima", place)).alias("k"), "name")
-        left = scratch.materialize(left, "near-keys")
+        named = F.when(F.col("ga").isNotNull(), F.col("hub_name")).otherwise(F.col("name")).alias("name")
+        linked = scratch.materialize(linked.select("id", "k", "n", "hub_name", named), "near-linked")
+        unlike = linked.groupBy("k").agg(F.count_if(F.col("name") != F.col("hub_name")).alias("unlike")).where("unlike > 0")
+        linked = linked.join(unlike, "k")
+        # few that are not linked: each meets all the others, who are dealt over slices
+        slices = F.ceil((F.col("n") - F.col("unlike")) / F.lit(BLOCK - FEW))
+        dealt = F.when(F.col("name") == F.col("hub_name"), F.array(F.pmod(F.xxhash64("id"), slices))).otherwise(F.sequence(F.lit(0).cast("long"), slices - 1))
+        sliced = linked.where(F.col("unlike") <= FEW).select("id", "k", "name", F.explode(dealt).alias("slice")).select("id", F.xxhash64("k", "slice").alias("k"), "name")
+        # one further minimum for each halving that is wanted, at most three at a time
+        place = [(F.pmod(F.xxhash64("k", F.lit(i)), F.lit(BANDS * ROWS)) + 1).cast("int") for i in range(3)]
+        key = F.xxhash64("k", *(F.when(F.col("n") > i * 2 * BLOCK, F.element_at("minima", p)) for i, p in enumerate(place)))
+        now = grouped(linked.where(F.col("unlike") > FEW).join(nodes.select("id", "minima"), "id").select("id", key.alias("k"), "name"))
+        blocks, large = blocks.select("id", "k", "name").union(sliced).union(now.where(F.col("n") <= BLOCK).select("id", "k", "name")), now.where(F.col("n") > BLOCK)
+    # first the best partner of each node; what these links join needs no more of them
+    blocks = scratch.materialize(blocks.select("id", "k", "name"), "near-blocks")
+    pairs = likely(blocks, nodes, best=True)
+    found = scratch.materialize(verified(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), texts), "near-tried")
+    tried = found if tried is None else tried.union(found)
+    roots = components.stars(tried.where("near").select("a", "b"))
+    renamed = blocks.join(roots, F.col("id") == F.col("node"), "left").select("id", "k", F.coalesce("root", "id").alias("name"))
+    groups = renamed.groupBy("k").agg(F.min("name").alias("x"), F.max("name").alias("y")).where("x <> y")
+    pairs = likely(renamed.join(groups.select("k"), "k"), nodes, best=False).join(tried, ["a", "b"], "left_anti")
+    return tried.union(scratch.materialize(verified(pairs, texts), "near-tried")).where("near").select("a", "b")

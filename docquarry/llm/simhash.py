@@ -218,17 +218,36 @@ def near_duplicates(docs: DataFrame, width: int = 3, tau: int = 2) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = 3, tau: int = 2) -> DataFrame:
-    """One row of each group of near copies: that of its smallest doc_id.
+    """One row of each group of near copies: that of its smallest doc_id, and of equal ones that of the smallest hash of its text.
 
     Texts are near if their fingerprints differ in at most ``tau`` bits, or if
-    their five-word shingles agree to 0.8 or more (see ``near_copies``). Each
-    doc_id stays once; rows without a doc_id have no name to go by and stay.
+    their five-word shingles agree to 0.8 or more (see ``near_copies``). It is
+    texts that are compared: rows of one doc_id with unlike texts all stay.
+    Rows without a doc_id have no name to go by and stay.
     """
     from docquarry.llm import near_copies
 
-    named = docs.where(F.col("doc_id").isNotNull())
-    groups = near_duplicates(named, width, tau).where("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-    roots = components.stars(near_copies.links(named).union(groups))
-    gone = roots.where("node <> root").select(F.col("node").alias("__gone"))
-    ours = named.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti").dropDuplicates(["doc_id"])
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    texts = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__hash").alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw = batch.column("text").to_pylist()
+        words = [near_copies.words_of(t) for t in raw]
+        return pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), batch.column("hash"), pa.array(map(near_copies.digest, words), pa.string()), pa.array([fingerprint(t, width) for t in raw], pa.int64()), pa.array(map(near_copies.signature, words), pa.list_(pa.int32())),
+        ], ["doc_id", "hash", "same", "fp", "minima"])
+
+    made = common.map_batches(texts, run, "doc_id long, hash long, same string, fp long, minima array<int>")
+    # a node for each sequence of words, with the row that bears it; the numbers are fixed once the table is written
+    nodes = made.groupBy("same").agg(F.min(F.struct("doc_id", "hash")).alias("row"), F.first("fp").alias("fp"), F.first("minima").alias("minima"))
+    nodes = scratch.materialize(nodes.select(F.monotonically_increasing_id().alias("id"), "row.doc_id", "row.hash", "fp", "minima"), "nodes")
+    prints = scratch.materialize(nodes.groupBy("fp").agg(F.min("id").alias("first")), "prints")
+    alike = near_pairs(prints.select("fp"), tau).join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b").select("x", "y")
+    equal = nodes.join(prints, "fp").where("id <> first").select("id", "first")
+    roots = components.stars(near_copies.links(nodes, texts).union(alike).union(equal).toDF("a", "b"))
+    named_roots = nodes.select("id", "doc_id", "hash").join(roots, F.col("id") == F.col("node"), "left")
+    stay = named_roots.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min(F.struct("doc_id", "hash")).alias("row"))
+    stay = stay.select(F.col("row.doc_id").alias("__doc"), F.col("row.hash").alias("__stays"))
+    ours = named.join(stay, (F.col("doc_id").cast("long") == F.col("__doc")) & (F.col("__hash") == F.col("__stays")), "left_semi")
+    ours = ours.dropDuplicates(["doc_id", "__hash"]).drop("__hash")  # rows repeated as a whole
     return ours.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -77,6 +77,14 @@ def test_whole_query_against_brute_force(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def linked(spark, rows):
+    """Edges of near_copies between the doc_ids of (doc_id, text) rows."""
+    made = [(d, d, d, [int(x) for x in near_copies.signature(near_copies.words_of(t))]) for d, t in rows]
+    nodes = spark.createDataFrame(made, "id long, doc_id long, hash long, minima array<int>")
+    docs = spark.createDataFrame([(d, d, t) for d, t in rows], "doc_id long, hash long, text string")
+    return {(max(r), min(r)) for r in near_copies.links(nodes, docs).collect()}
+
+
 def edges(spark, values, **kw):
     df = spark.createDataFrame([(int(np.uint64(v).astype(np.int64)),) for v in values], "fp long")
     return {frozenset((np.int64(r.a).astype(np.uint64).item(), np.int64(r.b).astype(np.uint64).item())) for r in simhash.near_pairs(df, 2, **kw).collect()}
@@ -146,8 +154,7 @@ def test_near_copies_with_a_piece_added_or_cut_off_are_linked(spark):
         wanted.add((2 * n + 1, 2 * n))
     texts = dict(rows)
     assert all(near_copies.similarity(texts[a], texts[b]) >= 0.8 for a, b in wanted)
-    got = {(max(r), min(r)) for r in near_copies.links(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == wanted
+    assert linked(spark, rows) == wanted
 
 
 def test_near_copies_of_one_vocabulary_are_linked_whatever_the_other_rows(spark):
@@ -157,5 +164,64 @@ def test_near_copies_of_one_vocabulary_are_linked_whatever_the_other_rows(spark)
     swapped = rows[7][1].split()
     swapped[0], swapped[1] = swapped[1], swapped[0]
     rows.append((12, " ".join(swapped)))
-    got = {(max(r), min(r)) for r in near_copies.links(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {(12, 7)}
+    assert linked(spark, rows) == {(12, 7)}
+
+
+def test_unrelated_texts_lose_no_link(spark):
+    rng = np.random.default_rng(41)
+    words = [f"w{x}" for x in range(300)]
+    one = " ".join(words)
+    two = " ".join([*words[:150], "new", *words[150:]])
+    assert near_copies.similarity(one, two) > 0.9
+    rows = [(1, one), (2, two)]
+    assert linked(spark, rows) == {(2, 1)}
+    assert linked(spark, [(0, " ".join(rng.permutation(words))), *rows]) == {(2, 1)}
+
+
+def spread(rng, first, copies, share):
+    out = [first]
+    for _ in range(copies):
+        words = list(first)
+        for _ in range(max(1, int(share * rng.random() * len(words)))):
+            words[rng.integers(len(words))] = f"x{rng.integers(10**6)}"
+        out.append(words)
+    return out
+
+
+def test_groups_of_all_sizes_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "BLOCK", 8)
+    monkeypatch.setattr(near_copies, "FEW", 2)  # crowds with hubs, splits and blocks
+    rng = np.random.default_rng(43)
+    texts = []
+    for size in (1, 2, 3, 5, 9, 20, 60):
+        first = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        texts += spread(rng, first, size, 0.05)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [near_copies.shingles(t) for _, t in rows]
+    alike = [(b, a) for a in range(len(rows)) for b in range(a + 1, len(rows)) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    got = linked(spark, rows)
+    assert got <= set(alike)
+
+    def groups(pairs):
+        parent = list(range(len(rows)))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in pairs:
+            parent[find(a)] = find(b)
+        return [find(i) for i in range(len(rows))]
+
+    want, have = groups(alike), groups(got)
+    together = [(a, b) for a in range(len(rows)) for b in range(a) if want[a] == want[b]]
+    assert sum(have[a] == have[b] for a, b in together) >= 0.98 * len(together)
+
+
+def test_rows_of_one_doc_id_with_unlike_texts_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (0, a), (2, b), (3, c), (3, c.upper()), (None, c), (None, c)]
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    kept_c = [t for d, t in got if d == 3]
+    assert [x for x in got if x[0] != 3] == [(0, a), (1, b), (None, c), (None, c)] and len(kept_c) == 1 and kept_c[0].lower() == c
