@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import uuid
 import zlib
 from array import array
@@ -287,7 +288,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     got, last = [], {}
     for y, n in wanted.items():  # rows of repeated doc_ids count towards the sample
         for r in sets.where(F.col("toxic") == y).orderBy("place").limit(n).toLocalIterator():
-            got.append((set(r["words"]), y))
+            got.append(({sys.intern(w) for w in r["words"]}, y))
             last[y] = r["place"]
     n = Counter(y for _, y in got)
     weight = max(1.0, sizes.get(0, 0) / max(1, n[0]) / (sizes.get(1, 1) / max(1, n[1]))) if n[0] and n[1] else 1.0
