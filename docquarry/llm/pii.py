@@ -1,10 +1,14 @@
 """Personal data in texts, also where it is disguised, with spans of the source text.
 
 Base identifiers are found by linear scanners equal to the published patterns.
-Beyond them, offset-preserving transducers rewrite a text: homoglyphs and wide
-forms to their plain letter, invisible characters to nothing, spelled digits to
-digits, and disguises of "at" and "dot" to the sign. Each output character
-keeps the source span that it was made from. The same scanners then run on the
+Beyond them, a chain of offset-preserving transducers rewrites a text: homoglyphs
+and wide forms to their plain letter, invisible characters to nothing, spelled
+digits to digits, and disguises of "at" and "dot" to the sign. Each is a regular
+language with an output for its readings, compiled to the matcher's automaton;
+each output character keeps the source span that it was made from. A spelled
+"at" needs more than a dot after it: a host with a known end, and before a plain
+host a name that looks like an address; so whether a span is found hangs on its
+own words alone. The same scanners then run on the
 rewritten text, and what they find maps back to source characters. Such a span
 is added if a rewriting lies inside it and no span of its kind overlaps it.
 
@@ -19,7 +23,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
@@ -114,16 +119,28 @@ _WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
 #: Two or more spelled digits in a row, or one beside a figure; a lone number word is prose.
 NUMBER_RUN = re.compile(rf"(?<![^\W_])(?:{_WORD})(?:[ -](?:{_WORD}|[0-9]+))+(?![^\W_])|(?<=[0-9][ -])(?:{_WORD})(?![^\W_])", re.I)
 NUMBER_WORD = re.compile(rf"(?<![^\W_])(?:{_WORD})(?![^\W_])", re.I)
-PLUS = re.compile(r"(?<![^\W_])plus ?(?=[0-9])", re.I)
+PLUS = re.compile(r"(?<![^\W_])(?<![0-9] )plus ?(?=[0-9])", re.I)
 _AT, _DOT = r"(?:at|arroba|klammeraffe)", r"(?:dot|punkt|point|punto)"
+#: Ends of hosts that a spelled address may have; those that are words of prose (in, it, is, me, at, so, to, no, be, as) are left out.
+_ENDS = "(?:com|org|net|edu|gov|mil|info|biz|io|co|uk|de|fr|es|eu|ch|nl|pl|pt|br|mx|ar|jp|cn|ru|se|dk|fi|cz|ie|ca|au|nz|dev|app|example|test|invalid)"
+#: Words that no spoken host starts with.
+_PROSE = r"(?:the|this|that|these|those|a|an|some|any|every|each|which|what|one|no|my|our|your|his|her|its|their|first|last|least|most|all|home)"
+_LABEL = "[A-Za-z0-9-]{1,63}"
 BRACKETED = re.compile(rf"\s{{0,3}}(?:\[\s?(?:({_AT}|@)|({_DOT}|\.))\s?\]|\(\s?(?:({_AT}|@)|({_DOT}|\.))\s?\)|\{{\s?(?:({_AT}|@)|({_DOT}|\.))\s?\}}|<\s?(?:({_AT}|@)|({_DOT}|\.))\s?>)\s{{0,3}}", re.I)
-#: "name at host dot com" in words alone: the dot must follow the at.
-IN_WORDS = re.compile(rf"(?<=[A-Za-z0-9])(\s{_AT}\s)(?=[A-Za-z0-9-]{{1,63}}(?:\s{_DOT}\s|\.)[A-Za-z0-9])", re.I)
+#: "name at host dot com" in words alone: a spelled dot before a known end must follow.
+AT_SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])(\s{_AT}\s)(?!{_PROSE}\s)(?={_LABEL}(?:(?:\s{_DOT}\s|\.){_LABEL}){{0,3}}?\s{_DOT}\s{_ENDS}(?![A-Za-z0-9-]))", re.I)
+#: "first.last at host.com": a plain host is the end of much prose ("look at example.com"), so what stands before must look like an address.
+AT_PLAIN = re.compile(rf"(?<=[A-Za-z0-9])(\s{_AT}\s)(?=(?:{_LABEL}\.){{1,4}}{_ENDS}(?![A-Za-z0-9-]))", re.I)
+NAME_LIKE = re.compile(rf"(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9]{{1,64}}(?:(?:[._%+-]|\s(?:dot|punkt|punto)\s)[A-Za-z0-9]{{1,64}}){{1,5}}|[A-Za-z]{{2,64}}[0-9]{{1,9}})\Z", re.I)
 DOT_IN_LOCAL = re.compile(rf"(?<=[A-Za-z0-9])\s{_DOT}\s(?=[A-Za-z0-9._%+-]{{1,64}}@)", re.I)
 DOT_IN_DIGITS = re.compile(rf"(?<=[0-9])\s{_DOT}\s(?=[0-9])", re.I)
 DOT_WORD = re.compile(rf"(?<=[A-Za-z0-9])\s{_DOT}\s(?=[A-Za-z0-9])", re.I)
-#: Matches in every plain text in which some pattern above does: a case for each of them.
-HINT = re.compile(rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]|\s(?:{_DOT})\s|{IN_WORDS.pattern}|{PLUS.pattern}|(?<![^\W_])(?:{_WORD})[ -](?:{_WORD}|[0-9])|[0-9][ -](?:{_WORD})(?![^\W_])", re.I)
+
+
+def name_like(text: str, at: int) -> bool:
+    """Whether what ends at ``at`` looks like the first part of an address: letters joined by signs, or with figures at their end."""
+    m = NAME_LIKE.search(text, max(0, at - 400), at)
+    return bool(m) and any(c.isalpha() for c in m[0])
 
 
 class Tape:
@@ -132,7 +149,7 @@ class Tape:
     def __init__(self, text: str):
         self.text, self.start, self.end, self.made = text, range(len(text)), range(1, len(text) + 1), bytearray(len(text))
 
-    def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
+    def rewrite(self, edits: list[Edit]) -> None:
         """Replace (start, end, by), in order and apart; a replacement's characters share the whole replaced source span."""
         if not edits:
             return
@@ -148,29 +165,51 @@ class Tape:
         self.text = "".join(text)
 
 
+Edit = tuple[int, int, str]
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A rewriting: where its automaton reads, what it writes for a reading, and how often in a row it is applied."""
+
+    reads: re.Pattern | None
+    edits: Callable[[str], list[Edit]]
+    times: int = 1
+
+
+def writes(pattern: re.Pattern, sign: Callable[[re.Match], str], group: int = 0, when: Callable[[str, int], bool] | None = None, times: int = 1) -> Transducer:
+    """The transducer that writes ``sign`` for a pattern's readings (for one of its groups), where ``when`` holds at its start."""
+
+    def edits(text: str) -> list[Edit]:
+        return [(m.start(group), m.end(group), sign(m)) for m in pattern.finditer(text) if when is None or when(text, m.start(group))]
+
+    return Transducer(pattern, edits, times)
+
+
+def spelled_digits(text: str) -> list[Edit]:
+    """Spelled digits run together; separators between figures stay."""
+    out: list[Edit] = []
+    for run in NUMBER_RUN.finditer(text):
+        for m in NUMBER_WORD.finditer(run[0]):
+            a, b = run.start() + m.start(), run.start() + m.end()
+            if out and out[-1][1] + 1 == a and text[a - 1] == " ":
+                a -= 1
+            out.append((a, b, SPELLED[m[0].lower()]))
+    return out
+
+
 def normalise(text: str) -> Tape | None:
     """The rewritten tape, or None where no transducer has anything to read."""
     plain = text.isascii() or not MAPPED.search(text)
-    if plain and not HINT.search(text):
+    if plain and not (SCREEN.search(text.lower()) and HINT.search(text)):
         return None
     tape = Tape(text)
-    if not plain:
-        # the plain character, where a look-alike stands among plain ones; a word of a foreign script stays foreign for readers, but spans map back either way
-        tape.rewrite([(m.start(), m.end(), LOOKALIKES.get(m[0], "")) for m in MAPPED.finditer(tape.text)])
-    tape.rewrite([(m.start(), m.end(), "@" if any(m.group(i) for i in (1, 3, 5, 7)) else ".") for m in BRACKETED.finditer(tape.text)])
-    tape.rewrite([(m.start(1), m.end(1), "@") for m in IN_WORDS.finditer(tape.text)])
-    tape.rewrite(dots_after_at(tape.text))
-    for pattern in (DOT_IN_LOCAL, DOT_IN_LOCAL, DOT_IN_LOCAL, DOT_IN_DIGITS):
-        tape.rewrite([(m.start(), m.end(), ".") for m in pattern.finditer(tape.text)])
-    edits = []
-    for run in NUMBER_RUN.finditer(tape.text):
-        for m in NUMBER_WORD.finditer(run[0]):
-            a, b = run.start() + m.start(), run.start() + m.end()
-            if edits and edits[-1][1] + 1 == a and tape.text[a - 1] == " ":
-                a -= 1  # spelled digits run together; separators between figures stay
-            edits.append((a, b, SPELLED[m[0].lower()]))
-    tape.rewrite(edits)
-    tape.rewrite([(m.start(), m.end(), "+") for m in PLUS.finditer(tape.text)])
+    for t in CHAIN:
+        for _ in range(t.times):
+            edits = t.edits(tape.text)
+            if not edits:
+                break
+            tape.rewrite(edits)
     return tape
 
 
@@ -190,6 +229,34 @@ def dots_after_at(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+#: In this order each reads what the one before has written. A look-alike counts wherever it stands: spans map back either way.
+CHAIN = (
+    writes(MAPPED, lambda m: LOOKALIKES.get(m[0], "")),
+    writes(BRACKETED, lambda m: "@" if any(m.group(i) for i in (1, 3, 5, 7)) else "."),
+    writes(AT_SPOKEN, lambda m: "@", 1),
+    writes(AT_PLAIN, lambda m: "@", 1, name_like),
+    Transducer(None, dots_after_at),
+    writes(DOT_IN_LOCAL, lambda m: ".", times=3),
+    writes(DOT_IN_DIGITS, lambda m: "."),
+    Transducer(NUMBER_RUN, spelled_digits),
+    writes(PLUS, lambda m: "+"),
+)
+#: Matches in every text in which some transducer has something to read: the union of what they read, and a spelled dot.
+HINT = re.compile("|".join([rf"\s{_DOT}\s", *(t.reads.pattern for t in CHAIN if t.reads is not None and t.reads is not MAPPED)]), re.I)
+
+
+def by_first_letter(words: Iterable[str]) -> str:
+    """A pattern of the words that decides by one letter at a time."""
+    groups: dict[str, list[str]] = {}
+    for w in words:
+        groups.setdefault(w[:1], []).append(w[1:])
+    return "(?:" + "|".join(c + by_first_letter(rest) if c else "" for c, rest in sorted(groups.items(), reverse=True)) + ")"
+
+
+#: A quick and wider test on the lowered text: a number word or spelled dot at all, a spelled at before a host, a bracketed sign, a plus.
+SCREEN = re.compile(rf"(?:^|[\W_])(?:{by_first_letter([*SPELLED, 'dot', 'punkt', 'point', 'punto'])}(?![^\W_])|{_AT}\s(?:[a-z0-9-]{{1,63}}\.){{1,4}}[a-z]|plus ?[0-9])|[\[({{<]\s?(?:{_AT}|@|\.)\s?[\])}}>]")
+
+
 def spans_of(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     """(base spans, all spans) by kind."""
     base = base_spans(text)
