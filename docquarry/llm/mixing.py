@@ -4,15 +4,17 @@ A group (a source with a target weight, or all others together) of n rows that
 is to hold a share w of a corpus of N rows has a mean repetition rate of w N / n.
 Each document's count is the inverse of that Poisson distribution at a number
 in [0, 1) that its doc_id and the seed hash to; the row is exploded by its count
-and dealt, with all others, to places given by another hash.
+and dealt, with all others, to places given by another hash. A row without a
+doc_id goes by its source and text instead.
 
 The number of groups is the number of given weights plus one, so the table of
 rates is of a known size and can be broadcast; the rows of a hot source never
 meet in one task. The distribution's table is built outward from its mode, so
 no rate underflows it.
 
-Cases: a null source belongs to the others; a null doc_id hashes as an empty
-name; repeated rows have one count and are repeated each; a group without rows
+Cases: a null source belongs to the others; rows of one doc_id have one count
+and are repeated each, and lie apart if their texts differ; rows without a
+doc_id are told apart by source and text; a group without rows
 is not made up for; a weight of zero drops its source; an empty table gives an
 empty result; null and long texts are carried as they are. All columns are
 kept; one called copy_number is replaced by the copy's number, from 1.
@@ -29,9 +31,14 @@ SEED = 17
 MOST_WEIGHTS = 10_000
 
 
+def name_of(doc_id: Column, source: Column, text: Column) -> Column:
+    """What a row's draw goes by."""
+    return F.coalesce(doc_id.cast("string"), F.concat(F.md5(F.coalesce(text, F.lit(""))), F.lit(":"), F.coalesce(source, F.lit(""))))
+
+
 def uniform(name: Column, seed: int) -> Column:
     """A number in [0, 1) of 52 bits from a hash of the name."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(name.cast("string"), F.lit(""))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(2.0**52)
 
 
@@ -80,13 +87,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SE
     """
     weights = WEIGHTS if weights is None else weights
     names = [c for c in docs.columns if c != "copy_number"]
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__row"), F.col("doc_id").alias("__id"), group_of(F.col("source"), weights).alias("__key"), uniform(F.col("doc_id"), seed).alias("__u"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__row"), name_of(F.col("doc_id"), F.col("source"), F.col("text")).alias("__id"), F.xxhash64("source", "text").alias("__text"), group_of(F.col("source"), weights).alias("__key"))
+    packed = packed.withColumn("__u", uniform(F.col("__id"), seed))
     table = F.broadcast(rates(docs, weights, scale))  # at most 10,001 rows
     rated = packed.join(table, packed["__key"] == table["__group"])
     # the least k whose cumulated chance is over u
     count = F.when(F.col("__rate") <= 0, F.lit(0).cast("long")).otherwise(F.col("__dist.low") + F.size(F.filter("__dist.cumulated", lambda c: c <= F.col("__u"))))
-    copies = rated.withColumn("__n", count).where("__n > 0").select("__row", "__id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("copy_number")).withColumn("copy_number", F.col("copy_number").cast("int"))
-    place = F.xxhash64(F.lit(seed + 1), "__id", "copy_number")
+    copies = rated.withColumn("__n", count).where("__n > 0").select("__row", "__id", "__text", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("copy_number")).withColumn("copy_number", F.col("copy_number").cast("int"))
+    place = F.xxhash64(F.lit(seed + 1), "__id", "__text", "copy_number")
     dealt = copies.withColumn("__place", place).repartition(F.col("__place")).sortWithinPartitions("__place", "__id", "copy_number")
     return dealt.select("__row.*", "copy_number")
 
@@ -100,7 +108,7 @@ def oracle(weights: dict[str, float] | None = None, seed: int = SEED) -> str:
     return f"""
 WITH RECURSIVE keyed AS (
   SELECT *, CASE WHEN source IN ({listed}) THEN source ELSE '' END AS g,
-         ('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+         ('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')) || ':' || coalesce(source, ''))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM documents),
 sizes AS (SELECT g, count(*) AS n FROM keyed GROUP BY g),
 rated AS (SELECT g, CASE g {cases} ELSE {rest!r}::DOUBLE END * (SELECT sum(n) FROM sizes)::DOUBLE / n AS rate FROM sizes),
