@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquarry import scratch
 from docquarry.functions import text as T
 
 
@@ -137,13 +138,14 @@ def page_files(pages: DataFrame, url: str = "url", order: str = "page_id") -> Da
 
     A URL that comes again has its own name again, so URLs are made distinct first.
     """
-    from pyspark.sql import Window as W
-
     clean = pages.withColumn("_url", T.without_fragment(F.col(url)))
     first = clean.groupBy("_url").agg(F.min(order).alias(order)).withColumn("stem", T.page_stem(F.col("_url")))
-    nth = F.row_number().over(W.partitionBy("stem").orderBy(order, "_url"))
-    name = F.when(nth == 1, F.concat("stem", F.lit(".md"))).otherwise(F.concat("stem", F.lit("-"), T.short_hash(F.col("_url")), F.lit(".md")))
-    return first.withColumn("filename", name).select(F.col("_url").alias("url"), order, "filename")
+    # a stem like "index" is that of very many pages: only its first is looked for, map-side first, and both sides of the join are dealt for it alone
+    alone = scratch.materialize(first.groupBy("stem").agg(F.min(F.struct(order, "_url")).alias("_first")), "stems")
+    named = first.join(alone, "stem")
+    is_first = (F.col("_first._url") == F.col("_url")) & (F.col(f"_first.{order}") == F.col(order))
+    name = F.when(is_first, F.concat("stem", F.lit(".md"))).otherwise(F.concat("stem", F.lit("-"), T.short_hash(F.col("_url")), F.lit(".md")))
+    return named.withColumn("filename", name).select(F.col("_url").alias("url"), order, "filename")
 
 
 def ordered_distinct(*lists: DataFrame, column: str = "url") -> DataFrame:

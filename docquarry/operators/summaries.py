@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from docquarry import scratch
+
 
 class Summarizer(Protocol):
     def __call__(self, prompt: str) -> str: ...
@@ -122,14 +124,33 @@ def page_rollup(chunks: DataFrame) -> DataFrame:
 # --- evaluation
 
 
-def trimmed_mean(rows: DataFrame, value: str, by: str, share: float = 0.10) -> DataFrame:
-    """(by, mean, percentile, trimmed): the mean without int(n * share) values at each end; the median from a half on; untrimmed if too few."""
-    w = W.partitionBy(by)
-    placed = rows.where(F.col(value).isNotNull()).select(by, value).withColumns({"_r": F.row_number().over(w.orderBy(value)), "_n": F.count("*").over(w)})
-    cut = F.floor(F.col("_n") * share) if share < 0.5 else F.lit(0)
-    inside = (2 * cut >= F.col("_n")) | ((F.col("_r") > cut) & (F.col("_r") <= F.col("_n") - cut))
-    middle = F.percentile(value, 0.5) if share >= 0.5 else F.avg(F.when(inside, F.col(value)))
-    return placed.groupBy(by).agg(F.avg(value).alias("mean"), F.percentile(value, 0.2).alias("percentile"), middle.alias("trimmed"))
+def trimmed_mean(rows: DataFrame, value: str, by: str, share: float = 0.10, percentile: float = 0.2) -> DataFrame:
+    """(by, mean, percentile, trimmed): the mean without int(n * share) values at each end; the median from a half on; untrimmed if too few.
+
+    Equal values are counted before anything moves. The distinct ones are dealt by
+    range and numbered within their range on top of the ranges' totals, so no
+    group of any size is sorted by one task.
+    """
+    counted = rows.where(F.col(value).isNotNull()).groupBy(by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    dealt = scratch.materialize(counted.repartitionByRange(by, "_v").withColumn("_part", F.spark_partition_id()), "ranges")
+    parts = dealt.groupBy(by, "_part").agg(F.sum("_n").alias("_own"))
+    before = W.partitionBy(by).orderBy("_part")
+    parts = parts.withColumns({"_base": F.sum("_own").over(before) - F.col("_own"), "_all": F.sum("_own").over(W.partitionBy(by))}).drop("_own")
+    placed = dealt.join(F.broadcast(parts), [by, "_part"])  # a row for each group and partition
+    start = F.col("_base") + F.sum("_n").over(W.partitionBy(by, "_part").orderBy("_v")) - F.col("_n")
+    placed = placed.withColumn("_start", start).withColumn("_end", F.col("_start") + F.col("_n"))
+    cut = F.floor(F.col("_all") * share)
+    cut = F.when(2 * cut >= F.col("_all"), 0).otherwise(cut)
+    inside = F.greatest(F.least("_end", F.col("_all") - cut) - F.greatest("_start", cut), F.lit(0))
+
+    def quantile(p: float) -> Column:
+        at = (F.col("_all") - 1) * F.lit(p)
+        value_at = lambda i: F.max(F.when((F.col("_start") <= i) & (i < F.col("_end")), F.col("_v")))
+        low, high = value_at(F.floor(at)), value_at(F.ceil(at))
+        return low + (high - low) * F.max(at - F.floor(at))
+
+    middle = quantile(0.5) if share >= 0.5 else F.sum(inside * F.col("_v")) / F.sum(inside)
+    return placed.groupBy(by).agg((F.sum(F.col("_v") * F.col("_n")) / F.max("_all")).alias("mean"), quantile(percentile).alias("percentile"), middle.alias("trimmed"))
 
 
 def score_range(rows: DataFrame, *values: str) -> DataFrame:

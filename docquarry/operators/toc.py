@@ -34,9 +34,19 @@ def title_levels(toc: DataFrame) -> DataFrame:
     return toc.groupBy(title_key(F.col("title")).alias("title_key")).agg(F.min("level").alias("level"))
 
 
+MOST_TITLES = 100_000  # of one document's contents, which the driver reads
+
+
+def bounded(rows: DataFrame, most: int) -> DataFrame:
+    """The rows, which are an error if there are more: nothing is cut silently."""
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows")
+    return rows
+
+
 def best_level(titles: DataFrame, toc: DataFrame, cutoff: float = 0.9) -> DataFrame:
     """(title, level): by the exact key, else by the most similar title at or over the cutoff. The contents of one document are small and go to each task."""
-    levels = {r["title_key"]: r["level"] for r in title_levels(toc).limit(100_000).collect()}
+    levels = {r["title_key"]: r["level"] for r in bounded(title_levels(toc), MOST_TITLES).collect()}
     scratch.ship(titles.sparkSession)
 
     @F.pandas_udf("int")

@@ -327,6 +327,12 @@ def pages_markdown(spark, d):
     return crawl.as_markdown(pages(spark, d)).select("page_id", "markdown")
 
 
-@query("page_links")
+@query("page_links", """WITH p AS (SELECT url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) AS scheme, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, html FROM pages),
+f AS (SELECT *, CASE WHEN path = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END AS folder FROM p)
+SELECT DISTINCT url, host || replace(trim(h), '&amp;', '&') AS target FROM (SELECT url, host, unnest(regexp_extract_all(html, '<a\\b[^>]*\\bhref\\s*=\\s*[\"'']([^\"''#]+)', 1)) AS h FROM f)
+UNION SELECT url, host || folder || 'next.html?a=1&b=2' FROM f UNION SELECT url, scheme || '//cdn.example.org/x' FROM f UNION SELECT url, host || path || '?page=2' FROM f
+UNION SELECT url, 'http://other.example.org/' FROM f UNION SELECT url, host || regexp_replace(folder, '[^/]+/$', '') || 'up/y' FROM f""")
 def page_links(spark, d):
-    return crawl.links(pages(spark, d))
+    """The pages' links, and on each page one of every other form."""
+    more = '<a href="next.html?a=1&amp;b=2"><a href="//cdn.example.org/x"><a href="?page=2"><a href="http://other.example.org/"><a href="./../up/./y"><a href="mailto:a@b.example"><a href="javascript:go()">'
+    return crawl.links(pages(spark, d).withColumn("html", F.concat("html", F.lit(more))))

@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry import scratch
@@ -54,11 +54,12 @@ def parsed_sitemaps(maps: DataFrame, xml: str = "xml") -> DataFrame:
     return maps.withColumns({"kind": T.sitemap_kind(F.col(xml)), "locs": T.sitemap_locations(F.col(xml))}).drop(xml)
 
 
-def discover(spark: SparkSession, seed: str, fetch: Fetcher = no_network, extra: tuple[str, ...] = (), most_rounds: int = 10) -> DataFrame:
+def discover(spark: SparkSession, seed: str, fetch: Fetcher = no_network, extra: tuple[str, ...] = (), most_rounds: int = 1_000) -> DataFrame:
     """URLs under a seed that its sitemaps name, each once; indexes are followed round by round.
 
     A round fetches the sitemaps not seen yet (an anti-join), writes what it
-    found to the shared folder, and ends when there is no new one.
+    found to the shared folder, and the last is the one without a new one. Indexes
+    nested deeper than ``most_rounds`` are an error, not an end.
     """
     root = seed.rstrip("/")
     candidates = [f"{root}/sitemap.xml", f"{root}/sitemap_index.xml", *extra]
@@ -71,22 +72,47 @@ def discover(spark: SparkSession, seed: str, fetch: Fetcher = no_network, extra:
         found = scratch.materialize(parsed_sitemaps(maps).select("kind", F.explode("locs").alias("url")).distinct(), "sitemaps")
         own = found.where(F.col("kind") == "urlset").select("url")
         pages = own if pages is None else pages.union(own)
-        frontier = found.where(F.col("kind") == "index").select("url").join(seen, "url", "left_anti")
+        frontier = scratch.materialize(found.where(F.col("kind") == "index").select("url").join(seen, "url", "left_anti"), "frontier")
         if frontier.isEmpty():
             break
         seen = seen.union(frontier)
+    else:
+        raise RuntimeError(f"sitemap indexes are nested deeper than {most_rounds}")
     return pages.where(F.startswith("url", F.lit(root + "/")) | (F.col("url") == root)).distinct()
 
 
 LINK = r"(?is)<a\b[^>]*\bhref\s*=\s*[\"']([^\"'#]+)"
 
 
+def resolved(url: Column, href: Column) -> Column:
+    """The absolute target of a link on a page: as it is, on the page's scheme, host, folder or path; null where it is no address of a page (mailto and the like)."""
+    href = F.trim(href)
+    scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    host = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = T.url_path(url)
+    folder = F.regexp_replace(F.when(path == "", "/").otherwise(path), "[^/]*$", "")
+    own = F.regexp_extract(href, "^([^?]*)", 1)
+    place = F.when(F.startswith(own, F.lit("/")), own).when(own == "", path).otherwise(F.concat(folder, own))
+    query = F.regexp_extract(href, r"(\?.*)$", 1)
+
+    def climb(kept: Column, part: Column) -> Column:
+        return F.when(part == ".", kept).when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(part)))
+
+    every = F.split(place, "/")
+    parts = F.slice(every, F.lit(2), F.size(every))
+    steps = F.aggregate(parts, F.array().cast("array<string>"), climb)
+    ends_in_dots = place.rlike(r"/\.\.?$")
+    walked = F.when(place.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(steps, "/"), F.when(ends_in_dots & (F.size(steps) > 0), "/").otherwise(""))).otherwise(place)
+    return (
+        F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href).when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(F.startswith(href, F.lit("//")), F.concat(scheme, href)).otherwise(F.concat(host, walked, query))
+    )
+
+
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, target): absolute targets of a page's links; those relative to the root are put on its host."""
-    base = F.regexp_extract(F.col(url), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    out = pages.select(F.col(url).alias("url"), base.alias("_base"), F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK), 1)).alias("href"))
-    target = F.when(F.col("href").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("href")).when(F.startswith("href", F.lit("/")), F.concat("_base", "href")).otherwise(F.concat("_base", F.lit("/"), F.col("href")))
-    return out.select("url", T.decode_entities(target).alias("target")).distinct()
+    """(url, target): the absolute targets of a page's links, each once."""
+    out = pages.select(F.col(url).alias("url"), F.explode(F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(LINK), 1))).alias("href"))
+    return out.select("url", resolved(F.col("url"), T.decode_entities(F.col("href"))).alias("target")).where("target is not null").distinct()
 
 
 def deep_crawl(spark: SparkSession, seeds: list[str], fetch: Fetcher = no_network, domains: list[str] | None = None, depth: int = 2, most_pages: int = 50_000) -> DataFrame:

@@ -57,11 +57,16 @@ def read_codenames(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CODENAMES).csv(path, header=True)
 
 
+MOST_RULES = 10_000
+
+
 def read_rules(spark: SparkSession, path: str):
     """Rewrite rules in order. The file is a user's list, so it is read to the driver."""
     from docquarry.operators.cleaning import Rule
 
-    rows = spark.read.schema(RULES).csv(path, header=True, escape='"').limit(10_000).collect()
+    rows = spark.read.schema(RULES).csv(path, header=True, escape='"').limit(MOST_RULES + 1).collect()
+    if len(rows) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
     flag = {"I": "i", "M": "m", "S": "s"}
     return [Rule("".join(f"(?{flag[c]})" for c in (r["flags"] or "").upper() if c in flag) + r["pattern"], r["replacement"] or "", 100 if r["priority"] is None else r["priority"]) for r in rows if r["pattern"]]
 
@@ -114,10 +119,11 @@ def write_pages(pages: DataFrame, path: str) -> None:
     """Pages as (filename, text) with their front matter and a forced H1; one row stands for one file."""
     from docquarry.operators.filters import page_files
 
+    pages = pages.groupBy(X.without_fragment(F.col("url")).alias("url")).agg(F.min("page_id").alias("page_id"), F.min_by(F.struct("html", "markdown"), "page_id").alias("_p")).select("url", "page_id", "_p.html", "_p.markdown")
     names = page_files(pages)
     title = X.html_title(F.col("html"))
     head = X.front_matter({"title": title, "source": F.col("url")})
-    rows = pages.withColumn("url", X.without_fragment(F.col("url"))).join(names.select("url", "filename"), "url")
+    rows = pages.join(names.select("url", "filename"), "url")
     rows.select("filename", F.concat(head, F.lit("\n"), X.force_h1(F.col("markdown"), title)).alias("text")).write.parquet(path)
 
 

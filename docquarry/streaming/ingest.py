@@ -16,16 +16,31 @@ def stream_documents(spark: SparkSession, path: str, schema: str = DOCUMENTS) ->
     return spark.readStream.schema(schema).parquet(path)
 
 
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """The finished versions of a table under ``root``, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    names = [f.getPath().getName() for f in store.listStatus(place)]
+    done = lambda n: store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version=") and done(n))
+
+
 def merge_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, key: str = "id", order: str = "ord") -> str:
-    """The table after one batch, as a new version beside the last; a batch that runs again writes the same version again."""
-    last = f"{root}/version={batch_id - 1}"
+    """The table after one batch, as a new version beside the last; a batch that runs again writes the same version again.
+
+    The first batch makes the table. Any other needs the version of the batch
+    before: if that is gone the batch fails, as its rows alone are not the table.
+    """
     target = f"{root}/version={batch_id}"
-    try:
-        merged = upsert(spark.read.parquet(last), batch.withColumn("_order", F.col(order)), key, "_order")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        merged = batch
+    new = batch.withColumn("_order", F.col(order))
+    if batch_id == 0:
+        merged = upsert(batch.limit(0), new, key, "_order")
+    elif batch_id - 1 in versions(spark, root):
+        merged = upsert(spark.read.parquet(f"{root}/version={batch_id - 1}"), new, key, "_order")
+    else:
+        raise FileNotFoundError(f"version {batch_id - 1} of {root} is missing")
     merged.write.mode("overwrite").parquet(target)
     return target
 
