@@ -45,9 +45,15 @@ def canonical(text: Column) -> Column:
 
 
 def spelled(text: Column) -> Column:
+    """Each word gets spaces of its own meanwhile, so that neighbours don't share the one that both need."""
+    text = F.replace(text, F.lit(" "), F.lit("  "))
     for a, b in SPELLINGS:
-        text = F.replace(text, F.lit(f" {a} "), F.lit(f" {b} "))
-    return text
+        text = F.replace(text, F.lit(f" {apart(a)} "), F.lit(f" {apart(b)} "))
+    return F.replace(text, F.lit("  "), F.lit(" "))
+
+
+def apart(words: str) -> str:
+    return words.replace(" ", "  ")
 
 
 def digest(text: Column) -> Column:
@@ -61,9 +67,16 @@ def canonical_py(text: str) -> str:
     out = regex.sub(COPYRIGHT_LINE, r"\1", text.lower())
     out = " " + regex.sub(OTHER, " ", out) + " "
     out = re.sub("^ +| +$", " ", out)
+    # word by word, by another way than the columns above
+    words = out.split(" ")
     for a, b in SPELLINGS:
-        out = out.replace(f" {a} ", f" {b} ")
-    return out
+        old, made, at = a.split(" "), [], 0
+        while at < len(words):
+            hit = words[at : at + len(old)] == old
+            made += b.split(" ") if hit else [words[at]]
+            at += len(old) if hit else 1
+        words = made
+    return " ".join(words)
 
 
 def known_digests() -> dict[str, str]:
@@ -112,9 +125,10 @@ def oracle() -> str:
         out = f"regexp_replace(lower({x}), '{COPYRIGHT_LINE}', '\\1', 'g')"
         out = f"' ' || regexp_replace({out}, '{OTHER}', ' ', 'g') || ' '"
         out = f"regexp_replace(regexp_replace({out}, '^ +', ' '), ' +$', ' ')"
+        out = f"replace({out}, ' ', '  ')"
         for a, b in SPELLINGS:
-            out = f"replace({out}, ' {a} ', ' {b} ')"
-        return f"sha256({out})"
+            out = f"replace({out}, ' {apart(a)} ', ' {apart(b)} ')"
+        return f"sha256(replace({out}, '  ', ' '))"
 
     table = lambda known: ", ".join(f"('{k}', '{v}')" for k, v in sorted(known.items()))
     return f"""

@@ -103,3 +103,29 @@ def test_licences(spark):
     import hashlib
 
     assert all(sha[i] == hashlib.sha256(licenses.canonical_py(t or "").encode()).hexdigest() for i, t in rows)
+
+
+def test_rows_without_a_doc_id_are_drawn_and_dealt_one_by_one(spark):
+    rows = [(None, "src0", f"text {i}") for i in range(2000)] + [(7, "src0", f"other {i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    coalesced = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesced, "false")
+    out = mixing.mix(df, {"src0": 1.0}, seed=5, scale=0.5).withColumn("p", F.spark_partition_id())
+    alone = out.where("doc_id is null")
+    assert 800 < alone.count() < 1200 and alone.groupBy("text").count().agg(F.max("count")).first()[0] < 8
+    assert alone.select("p").distinct().count() > 1
+    again = mixing.mix(df, {"src0": 1.0}, seed=5, scale=3.0).withColumn("p", F.spark_partition_id()).where("doc_id = 7")
+    assert again.count() == 0 or again.select("p").distinct().count() > 1
+    spark.conf.unset(coalesced)
+
+
+def test_spellings_side_by_side(spark):
+    texts = ["licence licence", "Licence, licence-licences sub-licence sub license", "favour favour http http", "per cent per cent copyright owner copyright owners"]
+    want = [" license license ", " license license licenses sublicense sublicense ", " favor favor https https ", " percent percent copyright holder copyright holders "]
+    got = [r.c for r in spark.createDataFrame([(t,) for t in texts], "t string").select(licenses.canonical(F.col("t")).alias("c")).collect()]
+    assert got == want == [licenses.canonical_py(t) for t in texts]
+    con = duckdb.connect()
+    con.register("documents", spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").toPandas())
+    import hashlib
+
+    assert dict((r[0], r[1]) for r in con.execute(f"SELECT doc_id, canonical_sha256 FROM ({licenses.oracle()})").fetchall()) == {i: hashlib.sha256(w.encode()).hexdigest() for i, w in enumerate(want)}
