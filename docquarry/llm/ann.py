@@ -7,21 +7,27 @@ order of projected distance and verified on the full vectors; a query stops
 when the next projected distance is so large that, by the chi-square law, a
 nearer neighbour than its k-th best would have been met with the wanted chance.
 
-Vectors are dealt to the leaves of a shallow kd-tree that is fitted to a
-bounded sample of projections; every vector is indexed. A leaf with many rows,
-say of one common vector, is cut into shards by a hash, so that no task holds
-an unbounded group. In a task the shard's own kd-tree is built and read leaf by
-leaf, nearest box first. A query first visits one shard of its own leaf, which
-bounds its k-th distance; it then goes only to shards whose box passes the same
-test. Queries are dealt in blocks; nothing that grows with the data is
-broadcast or collected.
+Vectors are dealt to the leaves of a kd-tree that is fitted to a bounded sample
+of projections; every vector is indexed. A leaf with more rows than a task
+should hold is cut into shards by a hash. In a task the shard's own kd-tree is
+built and read leaf by leaf, nearest box first. A query first visits one shard
+of its own leaf, which bounds its k-th distance; it then goes only to shards
+whose box passes the same test. The queries that visit a shard are dealt in
+blocks of bounded size, each a group of its own with the shard's rows; nothing
+that grows with the data is broadcast or collected.
+
+Equal vectors have equal scores, and ties go to the smaller id; so of rows with
+one vector only those of the k + 1 smallest ids can be among the k nearest of
+any query. The others are not indexed, which is exact, and keeps a vector that
+is very common from filling shards that all its own queries would have to visit.
 
 Cases: a null, empty or zero vector and one with a null or non-finite component
-takes no part, nor does one whose dimension is not the table's most common;
-a null vec_id takes no part; repeated rows of an id are candidates each, and an
-id is never its own candidate; ties go to the smaller id; with fewer candidates
-than asked for all are returned; an empty table gives an empty result; other
-columns are ignored.
+takes no part, nor does one whose dimension is not the table's most common (a
+cosine needs equal dimensions); a null vec_id takes no part; repeated rows of an
+id are candidates each, and an id is never its own candidate; rows of one query
+id are one query, that of its least vector; ties go to the smaller id; with
+fewer candidates than asked for all are returned; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +45,10 @@ from docquarry import scratch
 
 DIMS = 8
 SHARD = 20_000  # rows of a shard, about
-MOST_LEAVES = 4_096
-SAMPLE = 20_000  # projections that the leaves are fitted to
+MOST_LEAVES = 65_536
+SAMPLE = 200_000  # projections that the leaves are fitted to, of 8 numbers each
+BLOCK = 4_096  # queries that visit a shard together
+MOST_CELLS = 16_000_000  # distances of queries to boxes that are made at once
 TREE_LEAF = 128
 CHANCE = 0.97  # that a true neighbour is met before a query stops
 SEED = 11
@@ -175,68 +183,81 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "ve
     rows = rows.where(F.size("v") == dim)
     matrix, quantile = projection(dim), chi_square_quantile(chance, DIMS)
 
-    # the shallow tree: planes fitted to a sample of bounded size
+    def projected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            p = unit(np.stack(b["v"].to_numpy())) @ matrix if len(b) else np.zeros((0, DIMS))
+            yield pd.DataFrame({"p": list(p)})
+
+    # the shallow tree: planes fitted to a sample of bounded size, projected by the executors
+    place = F.xxhash64("vec_id", "v")
     wanted = min(1.0, SAMPLE / total)
-    picked = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(wanted * (1 << 30))).limit(2 * SAMPLE).collect()
-    sample = unit(np.array([r["v"] for r in picked])) @ matrix if picked else np.zeros((1, DIMS))
+    picked = rows.where(F.pmod(place, F.lit(1 << 30)) <= F.lit(wanted * (1 << 30))).mapInPandas(projected, "p array<double>").limit(2 * SAMPLE).toArrow()
+    sample = picked["p"].combine_chunks().flatten().to_numpy().reshape(-1, DIMS) if picked.num_rows else np.zeros((1, DIMS))
     leaves = min(MOST_LEAVES, max(1, total // SHARD))
-    planes = split_planes(sample, max(0, math.ceil(math.log2(leaves))))
+    tree = spark.sparkContext.broadcast(split_planes(sample, max(0, math.ceil(math.log2(leaves)))))  # at most 2 * MOST_LEAVES planes
 
     def leaf_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             p = unit(np.stack(b["v"].to_numpy())) @ matrix if len(b) else np.zeros((0, DIMS))
-            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "p": list(p), "leaf": descend(p, planes)})
-
-    placed = scratch.materialize(rows.mapInPandas(leaf_of, "vec_id long, v array<double>, p array<double>, leaf int"), "vectors")
-    counts = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # at most MOST_LEAVES rows
-    shards, first = {}, {}
+            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "p": list(p), "leaf": descend(p, tree.value)})
+
+    # what can be found: of each vector the k + 1 smallest ids, of an id k rows; both limits apply before the shuffle too
+    own = rows.withColumn("_n", F.row_number().over(W.partitionBy("v", "vec_id").orderBy("vec_id"))).where(F.col("_n") <= k)
+    own = own.withColumn("_n", F.dense_rank().over(W.partitionBy("v").orderBy("vec_id"))).where(F.col("_n") <= k + 1).drop("_n")
+    kept = scratch.materialize(own.mapInPandas(leaf_of, "vec_id long, v array<double>, p array<double>, leaf int"), "vectors")
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    counts = {r["leaf"]: r["count"] for r in kept.groupBy("leaf").count().collect()}  # at most MOST_LEAVES rows
+    first, shards, at = {}, {}, 0
     for leaf in sorted(counts):
-        first[leaf] = sum(shards.values())
-        shards[leaf] = -(-counts[leaf] // SHARD)
-    table = spark.createDataFrame([(leaf, first[leaf], shards[leaf]) for leaf in sorted(counts)], "leaf int, first int, shards int")
-    joined = placed.join(F.broadcast(table), "leaf")  # at most MOST_LEAVES rows of three numbers
-    shard = F.col("first") + F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("shards")).cast("int")
-    indexed = joined.withColumn("shard", shard).drop("first", "shards")
+        first[leaf], shards[leaf] = at, -(-counts[leaf] // SHARD)
+        at += shards[leaf]
+    table = F.broadcast(spark.createDataFrame([(leaf, first[leaf], shards[leaf]) for leaf in sorted(counts)], "leaf int, first int, shards int"))  # at most MOST_LEAVES rows of three numbers
+    shard = (F.col("first") + F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("shards")).cast("int")).alias("shard")
+    indexed = kept.join(table, "leaf").select("vec_id", "v", shard)
     # the boxes of leaves, by their extremes in each dimension
-    span = placed.groupBy("leaf").agg(*(f(F.col("p")[i]).alias(f"{n}{i}") for i in range(DIMS) for f, n in ((F.min, "a"), (F.max, "b")))).collect()
+    span = kept.groupBy("leaf").agg(*(f(F.col("p")[i]).alias(f"{n}{i}") for i in range(DIMS) for f, n in ((F.min, "a"), (F.max, "b")))).collect()
     span.sort(key=lambda r: r["leaf"])
-    box_leaf = np.array([r["leaf"] for r in span])
     low, high = (np.array([[r[f"{n}{i}"] for i in range(DIMS)] for r in span]) for n in "ab")
+    boxes = spark.sparkContext.broadcast((low, high, np.array([first[r["leaf"]] for r in span]), np.array([shards[r["leaf"]] for r in span])))
 
-    def read(queries: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(own):
+    def read(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(own):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         made = Shard(own["vec_id"].to_numpy(), np.stack(own["v"].to_numpy()), matrix)
-        out = []
-        for at in range(0, len(queries), 2048):
-            q = queries.iloc[at : at + 2048]
-            out += made.search(q["query_id"].to_numpy(), np.stack(q["query"].to_numpy()), q["bound"].to_numpy().copy(), k, quantile, matrix)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+        found = made.search(asked["query_id"].to_numpy(), np.stack(asked["query"].to_numpy()), asked["bound"].to_numpy().copy(), k, quantile, matrix)
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    def visit(queries: DataFrame) -> DataFrame:
-        candidates = indexed.select("shard", "vec_id", "v").groupBy("shard")
-        return queries.toDF("to_shard", "query_id", "query", "bound").groupBy("to_shard").cogroup(candidates).applyInPandas(read, FOUND)
+    def visit(asked: DataFrame) -> DataFrame:
+        """Each shard with its queries, in as many blocks as they need; ``asked`` (shard, query_id, query, bound)."""
+        blocks = asked.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+        dealt = asked.join(blocks, "shard").select("shard", F.pmod(F.xxhash64("query_id", F.lit(7)), F.col("blocks")).cast("int").alias("block"), "query_id", "query", "bound")
+        candidates = indexed.join(blocks, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
+        return dealt.groupBy("shard", "block").cogroup(candidates.groupBy("shard", "block")).applyInPandas(read, FOUND)
 
-    asked = indexed.where(F.col("vec_id") % every == 0)
-    near = scratch.materialize(visit(asked.select("shard", "vec_id", "v", F.lit(4.0).alias("bound"))), "near")
+    placed = queries.mapInPandas(leaf_of, "vec_id long, v array<double>, p array<double>, leaf int").join(table, "leaf", "left")
+    # a query whose own leaf is empty of candidates starts anywhere
+    asked = scratch.materialize(placed.select(F.coalesce(shard, F.lit(0)).alias("shard"), F.col("vec_id").alias("query_id"), F.col("v").alias("query"), "p"), "queries")
+    near = scratch.materialize(visit(asked.select("shard", "query_id", "query", F.lit(4.0).alias("bound"))), "near")
 
     def further(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if not len(b):
-                continue
-            far = box_distances(np.stack(b["p"].to_numpy()), low, high)
-            q, at = np.nonzero(far <= b["bound"].to_numpy()[:, None] * quantile)
-            to = [[s for s in range(first[x], first[x] + shards[x])] for x in box_leaf]
-            go = [(i, s) for i, j in zip(q, at, strict=True) for s in to[j] if s != b["shard"].iat[i]]
-            i = [x[0] for x in go]
-            yield pd.DataFrame({"shard": np.array([x[1] for x in go], dtype=np.int32), "vec_id": b["vec_id"].iloc[i].to_numpy(), "v": b["v"].iloc[i].to_numpy(), "bound": b["bound"].iloc[i].to_numpy()})
+        low, high, first, shards = boxes.value
+        for whole in batches:
+            for at in range(0, len(whole), step := max(1, MOST_CELLS // len(low))):
+                b = whole.iloc[at : at + step]
+                far = box_distances(np.stack(b["p"].to_numpy()), low, high)
+                q, leaf = np.nonzero(far <= b["bound"].to_numpy()[:, None] * quantile)
+                i = np.repeat(q, shards[leaf])
+                nth = np.arange(len(i)) - np.repeat(np.cumsum(shards[leaf]) - shards[leaf], shards[leaf])
+                to = np.repeat(first[leaf], shards[leaf]) + nth
+                new = to != b["shard"].to_numpy()[i]
+                i, to = i[new], to[new]
+                yield pd.DataFrame({"shard": to.astype(np.int32), "query_id": b["query_id"].to_numpy()[i], "query": b["query"].to_numpy()[i], "bound": b["bound"].to_numpy()[i]})
 
     kth = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("s"))
     bound = F.when(F.col("n") >= k, 2 - 2 * F.col("s") + 1e-9).otherwise(4.0)
-    bounded = asked.join(kth, asked.vec_id == kth.query_id, "left").select("shard", "vec_id", "v", "p", bound.alias("bound"))
-    more = visit(bounded.mapInPandas(further, "shard int, vec_id long, v array<double>, bound double"))
-    place = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = near.union(more).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    bounded = asked.join(kth, "query_id", "left").select("shard", "query_id", "query", "p", bound.alias("bound"))
+    more = visit(scratch.materialize(bounded.mapInPandas(further, "shard int, query_id long, query array<double>, bound double"), "visits"))
+    ranked = near.union(more).withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

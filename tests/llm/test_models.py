@@ -13,37 +13,58 @@ from docquarry.llm import ann, langid, toxicity
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
-@pytest.mark.parametrize("shard", [30, 20_000])
-def test_neighbours_against_brute_force(spark, monkeypatch, shard):
+def brute_neighbours(ids, m, every, k=5):
+    """For each query id its k nearest rows by the double-precision cosine, ties to the smaller id."""
+    n, out = np.sqrt((m * m).sum(1)), {}
+    for q in sorted({int(i) for i in ids if i % every == 0}):
+        v = min(tuple(m[i]) for i in np.nonzero(ids == q)[0])
+        s = m @ np.array(v) / n / np.sqrt(np.dot(v, v))
+        at = np.nonzero(ids != q)[0]
+        best = at[np.lexsort((ids[at], -np.round(s[at], 12)))][:k]
+        out[q] = [(int(ids[i]), float(s[i])) for i in best]
+    return out
+
+
+@pytest.mark.parametrize(("shard", "block"), [(30, 3), (20_000, 4_096)])
+def test_neighbours_against_brute_force(spark, monkeypatch, shard, block):
     monkeypatch.setattr(ann, "SHARD", shard)
+    monkeypatch.setattr(ann, "BLOCK", block)
     rng = np.random.default_rng(7)
     centres = rng.standard_normal((8, 16))
     v = centres[rng.integers(0, 8, 700)] + 0.4 * rng.standard_normal((700, 16))
     v[100:260] = v[100]  # one very common vector
     rows = [(i, [float(np.float32(x)) for x in r]) for i, r in enumerate(v)]
     odd = [(700, None), (750, [0.0] * 16), (800, [float("nan")] + [1.0] * 15), (850, [None] + [1.0] * 15), (900, [1.0]), (None, rows[0][1]), (950, [])]
-    df = spark.createDataFrame(rows + odd + [rows[3]], "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
+    again = [rows[3], rows[0], rows[0], rows[50], (100, rows[100][1]), (101, rows[101][1]), (101, rows[101][1])]  # candidates and queries that are there twice
+    df = spark.createDataFrame(rows + odd + again, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
     got = {}
     for r in ann.search(df).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    ids = np.array([r[0] for r in rows + [rows[3]]])
-    m = np.array([r[1] for r in rows + [rows[3]]])
-    n = np.sqrt((m * m).sum(1))
-    hits = total = 0
-    for q in range(0, 700, 50):
-        s = np.where(ids == q, -9, m @ m[q] / n / n[q])
-        best = np.lexsort((ids, -np.round(s, 12)))[:5]
+    want = brute_neighbours(np.array([r[0] for r in rows + again]), np.array([r[1] for r in rows + again]), 50)
+    assert set(got) == set(want)
+    hits = 0
+    for q, best in want.items():
         assert [x[0] for x in got[q]] == [1, 2, 3, 4, 5]
-        assert all(abs(x[2] - s[np.nonzero(ids == x[1])[0][0]]) < 1e-12 for x in got[q])
-        hits += len({x[1] for x in got[q]} & set(ids[best].tolist()))
-        total += 5
-        if 100 <= q < 260:
-            assert [x[1] for x in got[q]] == [i for i in range(100, 106) if i != q][:5]
-    assert set(got) == set(range(0, 700, 50)) and hits >= 0.9 * total
+        hits += sum(min([x[1] for x in got[q]].count(i), [b[0] for b in best].count(i)) for i in {b[0] for b in best})
+        if q in (0, 50) or 100 <= q < 260:
+            assert [(x[1], round(x[2], 12)) for x in got[q]] == [(i, round(x, 12)) for i, x in best]
+    assert hits >= 0.9 * 5 * len(want)
     few = ann.search(df.where("vec_id in (0, 1, 2)"))
     assert few.count() == 2 and ann.search(df.limit(0)).count() == 0
 
 
+def test_recall_over_many_leaves_in_the_tables_dimension(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD", 60)
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.select("vec_id", "embedding").collect()]
+    want = brute_neighbours(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float), 50)
+    got = {}
+    for r in ann.search(table).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(want)
+    assert sum(len(got[q] & {i for i, _ in best}) for q, best in want.items()) >= 0.9 * 5 * len(want)
+
+
 def test_chi_square():
     assert ann.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
 
@@ -63,6 +84,59 @@ def test_forward_sums_all_segmentations():
     assert all(math.isfinite(x) and x < -1000 for x in long)
 
 
+def test_lattice_against_all_segmentations():
+    pieces = langid.Pieces(PIECES)
+    rng = random.Random(3)
+    words = ["a", "under", "straße", "\u4e2d\u6587x", "\U0001043c\u00e9t\u00e9", "zzzzqq", "in"]
+    chance = np.array([[rng.random() / 50, rng.random() / 50] for _ in range(len(pieces.names) + 1)])
+    lattice = langid.Lattice(words, pieces)
+    got = lattice.totals(lattice.forward(chance))
+    want = [langid.forward(pieces.arcs(langid.START + w), [tuple(x) for x in chance.tolist()], 2) for w in words]
+    assert np.allclose(np.log(got), want)
+
+    def uses(word, times):  # every segmentation, one by one
+        arcs, out, paths = pieces.arcs(langid.START + word), {}, []
+
+        def walk(i, path, p):
+            if i == len(arcs):
+                paths.append((path, p))
+            for j, piece in arcs[i] if i < len(arcs) else ():
+                walk(j, [*path, piece], p * chance[piece, 0])
+
+        walk(0, [], 1.0)
+        total = sum(p for _, p in paths)
+        for path, p in paths:
+            for piece in path:
+                out[piece] = out.get(piece, 0) + times * p / total
+        return out
+
+    expected = np.zeros(len(chance))
+    for w, k in zip(words, range(1, 8), strict=True):
+        for piece, x in uses(w, k).items():
+            expected[piece] += x
+    assert np.allclose(lattice.expected(chance[:, 0], np.arange(1.0, 8.0)), expected)
+    long = langid.fit({"ab" * 900: 2, "under": 3}, pieces)
+    assert np.isfinite(long).all() and abs(long.sum() - 1) < 1e-9
+
+
+def test_predictions_against_brute_force():
+    pieces = langid.Pieces(PIECES)
+    words = {"en": {"the": 9, "house": 3, "things": 2}, "de": {"der": 8, "hauses": 2, "nicht": 4}}
+    langs = sorted(words)
+    chance = np.array([langid.fit(words[x], pieces) for x in langs]).T
+    scorer = langid.Scorer(PIECES, langs, chance)
+    texts = ["The house, things", "der, nicht-der 12", "", "42 !", "o'clock der" + "x" * 90, "the " * 3000]
+    rows = [tuple(x) for x in chance.tolist()]
+    for text, (lang, score) in zip(texts, scorer.scores(texts), strict=True):
+        found = langid.LETTERS.findall(text.lower())
+        logs = np.sum([langid.forward(pieces.arcs(langid.START + w), rows, 2) for w in found], axis=0) if found else None
+        if logs is None:
+            assert (lang, score) == ("und", 0.0)
+        else:
+            p = np.exp(logs - logs.max())
+            assert lang == langs[int(p.argmax())] and score == pytest.approx(float((p / p.sum()).max()))
+
+
 def crc(i, n):
     import zlib
 
