@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +27,27 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")).cast("int")
 
 
+def counted_tokens(text: Column, counter: Callable[[str], int]) -> Column:
+    """Tokens by a counter of one's own, a byte-pair encoder for one; it runs in Arrow batches. Null has none."""
+
+
+    @F.pandas_udf("int")
+    def count(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: 0 if t is None else counter(t)).astype("int32")
+
+    return count(text)
+
+
+#: Short words that tell languages apart; none stands for two of them.
+MARKERS = {"en": ("the", "and", "of", "is", "that"), "de": ("der", "und", "die", "nicht", "ist"), "fr": ("les", "est", "une", "dans", "pour"), "es": ("el", "los", "por", "una", "con")}
+
+
+def detected_language(text: Column) -> Column:
+    """The language whose marker words occur most often, the first of equals; "und" where none does."""
+    counts = [F.struct(F.regexp_count(F.lower(text), F.lit(rf"\b(?:{'|'.join(words)})\b")).alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang")) for i, (lang, words) in enumerate(MARKERS.items())]
+    return let(F.greatest(*counts), lambda best: F.when(best["n"] > 0, best["lang"]).otherwise("und"))
+
+
 def collapse_space(text: Column) -> Column:
     """Every run of white space, thin and no-break ones included, becomes a space."""
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))

@@ -523,6 +523,30 @@ GATED_LAST = [drop_prose_copy_of_code, merge_wrapped_rows, repair_broken_rows, d
 LAST = [strip_code_line_numbers]
 
 
+#: Fields of front matter, and the kind of source that gets the gated passes.
+GATE_FIELDS = ("category", "title", "description")
+GATE_KIND = "adobe connect"
+
+
+def gated_by_front_matter(text: Column, kind: str = GATE_KIND) -> Column:
+    """Whether the front matter names the kind of source in one of its fields."""
+    block = F.lower(F.regexp_extract(text, r"(?s)\A---\n(.*?)\n---\n", 1))
+    return F.coalesce(F.exists(F.array(*(F.lit(f"{f}: {kind.lower()}") for f in GATE_FIELDS)), lambda x: F.contains(block, x)), F.lit(False))
+
+
+def single_passes(files: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, pass, text): each line machine alone on each file; one crossing to Python for all."""
+    scratch.ship(files.sparkSession)
+    steps = [*EVERY_FILE, *GATED_FIRST, *CODE, *GATED_LAST, *LAST, blank_after_headings, drop_thin_sections, format_fences, unwrap_comments]
+
+    @F.pandas_udf("array<struct<pass:string,text:string>>")
+    def each(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"pass": s.__name__, "text": "\n".join(s(t.split("\n")))} for s in steps])
+
+    made = files.select(key, F.explode(each(F.coalesce("text", F.lit("")))).alias("p"))
+    return made.select(key, F.col("p.pass").alias("pass"), F.col("p.text").alias("text"))
+
+
 def run_passes(text: str, gated: bool) -> str:
     lines = text.split("\n")
     for step in [*EVERY_FILE, *(GATED_FIRST if gated else []), *CODE, *(GATED_LAST if gated else []), *LAST]:
@@ -538,7 +562,7 @@ def computed(files: DataFrame, text: Column) -> DataFrame:
 def clean(files: DataFrame, gate: Column | None = None, title: Column | None = None, rules: Iterable[Rule] = RULES) -> DataFrame:
     """``files`` with its text cleaned: native structure passes, the line machines in one UDF, then the rewrite rules.
 
-    gate: files that also get the passes for one kind of source (none by default).
+    gate: files that also get the passes for one kind of source, by default those whose front matter names it.
     """
     scratch.ship(files.sparkSession)
 
@@ -546,9 +570,10 @@ def clean(files: DataFrame, gate: Column | None = None, title: Column | None = N
     def machines(texts: pd.Series, gated: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else run_passes(t, bool(g)) for t, g in zip(texts, gated, strict=True)], dtype=object)
 
-    first = computed(files, drop_page_furniture(F.col("text")))
+    gate = gated_by_front_matter(F.col("text")) if gate is None else F.coalesce(gate, F.lit(False))
+    first = computed(files.withColumn("_gated", gate), drop_page_furniture(F.col("text")))
     first = computed(first, blank_short_sections(F.col("text")))
     first = computed(first, fill_empty_h1(F.col("text")))
     first = computed(first, strip_heading_numbers(ensure_top_heading(F.col("text"), F.lit(None).cast("string") if title is None else title)))
-    second = first.withColumn("text", machines("text", F.coalesce(F.lit(False) if gate is None else gate, F.lit(False))))
+    second = first.withColumn("text", machines("text", "_gated")).drop("_gated")
     return second.withColumn("text", apply_rules(F.col("text"), rules))

@@ -7,11 +7,21 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CAMEL = r"\b[A-Z][a-z0-9]+(?:[A-Z][a-z0-9]*)+\b"
-PREFIXED = r"\b(?:Constants|FCodes)\.\w+|\b[A-Z]{2,5}_[A-Z0-9_]+\b"
+#: The classes of prefixed names.
+CLASSES = {"FV_": "value", "FP_": "property", "FA_": "action", "FO_": "object", "FS_": "setting", "FF_": "flag", "FE_": "error", "FTI_": "text_item", "FT_": "type"}
+_PREFIX = "|".join(p.rstrip("_") for p in CLASSES)
+#: A class constant with or without its accessor, an API call, a structure, a key code.
+PREFIXED = rf"(?:\bConstants\.)?\b(?:{_PREFIX})_\w+|\bF_Api[A-Za-z]+\b|\bF_[A-Z][A-Za-z]+T\b|\bFCodes\.\w+"
+#: A capitalised segment with at least one more segment after it.
+CAMEL = r"\b(?:[A-Z][a-z0-9]+)(?:[A-Z][a-z0-9]*)+\b"
 MOST_TERMS = 5_000
 
 
+def canonical(name: Column) -> Column:
+    """A name without its accessor."""
+    return F.regexp_replace(name, r"^(?:Constants|FCodes)\.", "")
+
+
 def prefixed_names(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PREFIXED), 0)
 
@@ -22,27 +32,39 @@ def camel_names(text: Column) -> Column:
 
 
 def name_type(name: Column) -> Column:
-    return F.when(F.startswith(name, F.lit("Constants.")), "constant").when(F.startswith(name, F.lit("FCodes.")), "fcode").when(name.rlike("^[A-Z]{2,5}_"), "macro").otherwise("camel")
+    """The class of a canonical name."""
+    out = F.when(F.startswith(name, F.lit("KBD_")), "keyboard").otherwise("identifier")
+    out = F.when(F.startswith(name, F.lit("F_Api")), "function").when(name.rlike("^F_[A-Z].*T$"), "struct").otherwise(out)
+    for prefix, kind in CLASSES.items():
+        out = F.when(F.startswith(name, F.lit(prefix)), kind).otherwise(out)
+    return out
 
 
 def split_camel(name: Column) -> Column:
-    """The words of a name: runs of capitals, capitalised words, figures."""
-    return F.regexp_extract_all(name, F.lit(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+"), 0)
+    """The words of a name: runs of capitals before a capitalised word, words with their figures, other capitals."""
+    return F.regexp_extract_all(name, F.lit(r"[A-Z]+(?=[A-Z][a-z])|[A-Z]?[a-z0-9]+|[A-Z]+"), 0)
 
 
 def friendly(name: Column, dictionary: dict[str, str]) -> Column:
-    """The words of a name in plain English: each is looked up, default itself in lower case."""
-    bare = F.regexp_replace(name, r"^(?:Constants|FCodes)\.", "")
-    words = F.transform(split_camel(bare), lambda w: F.lower(w))
-    if not dictionary:
-        return F.array_join(words, " ")
-    table = F.create_map(*(F.lit(x) for pair in sorted(dictionary.items()) for x in pair))
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
+    """A name in plain English: accessor and class prefix go, then each word is looked up, default itself in lower case.
+
+    A segment between underscores that is all capitals is one word; a name of which
+    nothing is left stands for itself.
+    """
+    bare = canonical(name)
+    struct = F.when(bare.rlike("^F_[A-Z].*T$"), F.substr(bare, F.lit(3), F.length(bare) - 3))
+    bare = F.when(F.startswith(bare, F.lit("F_Api")), F.substr(bare, F.lit(6))).otherwise(F.coalesce(struct, F.regexp_replace(bare, rf"^(?:{_PREFIX}|KBD)_", "")))
+    segments = F.filter(F.split(bare, "_"), lambda s: s != "")
+    words = F.flatten(F.transform(segments, lambda s: F.when((F.upper(s) == s) & s.rlike("[A-Z].") & (F.length(s) > 1), F.array(F.lower(s))).otherwise(F.transform(split_camel(s), lambda w: F.lower(w)))))
+    if dictionary:
+        table = F.create_map(*(F.lit(x) for pair in sorted((k.lower(), v) for k, v in dictionary.items()) for x in pair))
+        words = F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w))
+    return F.when(bare == "", F.lower(name)).otherwise(F.array_join(words, " "))
 
 
 def document_frequency(docs: DataFrame, names: Column, key: str) -> DataFrame:
-    """(codename, type, count): in how many rows each name occurs."""
-    found = docs.select(F.col(key), F.explode(F.array_distinct(names)).alias("codename"))
+    """(codename, type, count): in how many rows each canonical name occurs."""
+    found = docs.select(F.col(key), F.explode(F.array_distinct(F.transform(names, canonical))).alias("codename"))
     return found.groupBy("codename").agg(F.count("*").alias("count")).withColumn("type", name_type(F.col("codename")))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docquarry.functions.text import chunk_id, let, strip, token_count
+from docquarry.functions.text import chunk_id, let, parse_front_matter, strip, token_count
 
 HEADING = r"^#{1,6}\s+\S"
 FENCE = r"^\s{0,3}(`{3,}|~{3,})"
@@ -117,8 +117,8 @@ def with_path(rows: DataFrame, by: str = "filename") -> DataFrame:
 
 
 def chunks(files: DataFrame, limit: int | None = None) -> DataFrame:
-    """The chunk table of heading sections: id, place, parent, neighbours, path, content, tokens and whether to embed."""
-    rows = with_path(sections(files))
+    """The chunk table of heading sections: id, place, parent, neighbours, path, content, tokens and whether to embed. Front matter is no content."""
+    rows = with_path(sections(files.withColumn("text", parse_front_matter(F.col("text"))["body"])))
     w = in_file()
     rows = rows.withColumns({"id": chunk_id(F.col("filename"), F.col("ord"), F.col("level")), "token_count": token_count(F.col("body"))})
     before = w.rowsBetween(W.unboundedPreceding, -1)

@@ -121,9 +121,61 @@ def page_rollup(chunks: DataFrame) -> DataFrame:
     return grouped.select("filename", "page_key", "first_ord", "n_members", F.concat_ws("\n", F.when(F.coalesce("_top", F.lit("")) != "", F.col("_top")), F.when(bullets != "", bullets)).alias("page_text"))
 
 
+def asked(rows: DataFrame, prompt: Column, backend: str, into: str) -> DataFrame:
+    """``rows`` with the backend's answer to each prompt that is not null, in Arrow batches."""
+
+    @F.pandas_udf("string")
+    def ask(prompts: pd.Series) -> pd.Series:
+        return prompts.map(lambda p: None if p is None else run_backend(backend, p))
+
+    return rows.withColumn(into, ask(prompt))
+
+
+def page_summaries(chunks: DataFrame, backend: str = "stub") -> DataFrame:
+    """``chunks`` with page_summary: each page is summed up once from its roll-up, and its members get the answer."""
+    pages = page_rollup(chunks)
+    prompt = F.when(F.coalesce("page_text", F.lit("")) != "", prompt_of(F.col("page_key"), F.col("page_text"), "Summarise this page in two sentences."))
+    made = asked(pages, prompt, backend, "page_summary").select(F.col("filename").alias("_file"), F.col("page_key").alias("_page"), F.coalesce("page_summary", F.lit("")).alias("page_summary"))
+    on = (F.col("filename") == F.col("_file")) & (F.coalesce("root_id", "filename") == F.col("_page"))
+    return chunks.drop("page_summary").join(made, on, "left").drop("_file", "_page")
+
+
+def code_summaries(chunks: DataFrame, backend: str = "stub") -> DataFrame:
+    """chunk_summary of code examples that have none, by a prompt of their own; other chunks keep theirs."""
+    due = (F.col("chunk_type") == "example") & (F.coalesce(F.col("chunk_summary"), F.lit("")) == "") & (F.coalesce(F.col("content"), F.lit("")) != "")
+    made = asked(chunks, F.when(due, prompt_of(F.col("concat_header_path"), F.col("content"), "Say what this code does in one sentence.")), backend, "_made")
+    return made.withColumn("chunk_summary", F.when(due, F.col("_made")).otherwise(F.col("chunk_summary"))).drop("_made")
+
+
 # --- evaluation
 
 
+class Scorer(Protocol):
+    """Scores of (source, summary) pairs, from 0 to 1."""
+
+    def __call__(self, pairs: list[tuple[str, str]]) -> list[float]: ...
+
+
+def word_overlap(pairs: list[tuple[str, str]]) -> list[float]:
+    """A deterministic stand-in for a model: the share of a summary's different words that its source has."""
+    out = []
+    for source, summary in pairs:
+        words = set(summary.lower().split())
+        out.append(len(words & set(source.lower().split())) / len(words) if words else 0.0)
+    return out
+
+
+def scored(chunks: DataFrame, scorer: Scorer = word_overlap, summary: str = "chunk_summary", into: str = "score") -> DataFrame:
+    """The chunks that can be scored with their score; the scorer sees an Arrow batch of pairs at a time."""
+    from docquarry.operators.filters import scorable
+
+    @F.pandas_udf("double")
+    def run(sources: pd.Series, summaries: pd.Series) -> pd.Series:
+        return pd.Series(scorer(list(zip(sources, summaries, strict=True))), dtype="float64")
+
+    return scorable(chunks, summary).withColumn(into, run(F.coalesce("content", F.lit("")), F.col(summary)))
+
+
 def trimmed_mean(rows: DataFrame, value: str, by: str, share: float = 0.10, percentile: float = 0.2) -> DataFrame:
     """(by, mean, percentile, trimmed): the mean without int(n * share) values at each end; the median from a half on; untrimmed if too few.
 

@@ -367,3 +367,14 @@ def move_tables_to_end(lines: Lines, heading: str) -> Lines:
 
 def unescaped(text: str) -> str:
     return html_entities.unescape(text)
+
+
+def rewritten(files: DataFrame, change: Callable[[Lines], Lines]) -> DataFrame:
+    """``files`` with a rewriting of lines applied to each text, in Arrow batches; null stays null."""
+    scratch.ship(files.sparkSession)
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t is None else "\n".join(change(t.split("\n"))))
+
+    return files.withColumn("text", run("text"))

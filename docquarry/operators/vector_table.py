@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StructType
 
 from docquarry.functions import vectors as V
 from docquarry.functions.text import short_hash
@@ -123,3 +124,38 @@ def valid_embeddings(rows: DataFrame, dim: int) -> DataFrame:
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def checked_dimension(rows: DataFrame, wanted: int, fail: bool = True, column: str = "embedding") -> int | None:
+    """The one dimension of a column's vectors. If it is not ``wanted``, or there are several, that is an error, or with ``fail`` off None."""
+    found = vector_dimension(rows, column).first()
+    if found.dim == wanted:
+        return wanted
+    if fail:
+        raise ValueError(f"vectors of {found.least_dim} to {found.most_dim} numbers where {wanted} are configured")
+    return None
+
+
+def require_vectors(chunks: DataFrame, column: str = "embedding") -> DataFrame:
+    """The chunks, if any has a vector: a table without one would only lose what is there."""
+    if chunks.where(F.col(column).isNotNull()).isEmpty():
+        raise ValueError(f"no chunk has {column}; nothing is written")
+    return chunks
+
+
+def evolved(table: DataFrame, wanted: StructType) -> DataFrame:
+    """An existing table with the columns that it lacks, as nulls; its own stay, and a column of another type is an error."""
+    for f in wanted.fields:
+        if f.name not in table.columns:
+            table = table.withColumn(f.name, F.lit(None).cast(f.dataType))
+        elif table.schema[f.name].dataType != f.dataType:
+            raise TypeError(f"{f.name} is {table.schema[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
+    return table
+
+
+def reconciled(table: DataFrame, dim: int) -> DataFrame:
+    """A table fit for vectors of ``dim`` numbers: an empty one is made anew with null vectors, one that holds another dimension is an error."""
+    held = vector_dimension(table).first()
+    if held.n_vectors and not (held.least_dim == held.most_dim == dim):
+        raise ValueError(f"the table holds vectors of {held.least_dim} to {held.most_dim} numbers; {dim} would need it rebuilt")
+    return with_missing_vectors(table)

@@ -253,7 +253,56 @@ def toc_align(spark, d):
 
 @query("clean_files")
 def clean_files(spark, d):
-    return cleaning.clean(files(spark, d))
+    """All passes; every second file has front matter that opens the gate of those for one kind of source."""
+    head = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("---\ncategory: Adobe Connect\nsource: doc "), F.col("doc_id").cast("string"), F.lit("\n---\n"))).otherwise("")
+    return cleaning.clean(files(spark, d).withColumn("text", F.concat(head, "text")))
+
+
+MARKED_LINES = """m AS (
+  SELECT doc_id, i, CASE i % 7 WHEN 1 THEN '## h' || i WHEN 2 THEN '1. ' || line WHEN 4 THEN '**b' || i || '**' WHEN 5 THEN '' ELSE 'x' || line END AS line
+  FROM (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)))"""
+
+
+def marked_lines(spark, d):
+    """Documents with headings, numbered items, bold and blank lines made of their own lines."""
+    n = lambda i: i.cast("string")
+    kind = lambda x, i: F.when(i % 7 == 1, F.concat(F.lit("## h"), n(i))).when(i % 7 == 2, F.concat(F.lit("1. "), x)).when(i % 7 == 4, F.concat(F.lit("**b"), n(i), F.lit("**"))).when(i % 7 == 5, "").otherwise(F.concat(F.lit("x"), x))
+    return docs(spark, d).select("doc_id", F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), kind), "\n").alias("text"))
+
+
+def spaced_sql(wanted: str, after: bool) -> str:
+    """Blank lines before, and after, the lines that match, unless one is there."""
+    tail = "|| CASE WHEN w AND nxt IS NOT NULL AND trim(nxt) <> '' THEN chr(10) ELSE '' END" if after else ""
+    no_blank = "AND NOT coalesce(pw, false)" if after else ""
+    return f"""WITH {MARKED_LINES}, k AS (SELECT *, regexp_matches(line, '{wanted}') AS w, lag(line) OVER x AS prev, lag(regexp_matches(line, '{wanted}')) OVER x AS pw, lead(line) OVER x AS nxt FROM m WINDOW x AS (PARTITION BY doc_id ORDER BY i))
+SELECT doc_id, string_agg(CASE WHEN w AND prev IS NOT NULL AND trim(prev) <> '' {no_blank} THEN chr(10) ELSE '' END || line {tail}, chr(10) ORDER BY i) AS text FROM k GROUP BY doc_id"""
+
+
+def one_pass(spark, d, name):
+    return cleaning.single_passes(marked_lines(spark, d)).where(F.col("pass") == name).select("doc_id", "text")
+
+
+@query("space_around_headings", spaced_sql("^#{1,4}\\s", True))
+def space_around_headings(spark, d):
+    return one_pass(spark, d, "space_around_headings")
+
+
+@query("space_around_bold", spaced_sql("^\\*\\*[^*].*\\*\\*$", True))
+def space_around_bold(spark, d):
+    return one_pass(spark, d, "space_around_bold")
+
+
+@query("space_ordered_lists", spaced_sql("^\\s*\\d+[.)]\\s+\\S", False))
+def space_ordered_lists(spark, d):
+    return one_pass(spark, d, "space_ordered_lists")
+
+
+@query("clean_single_passes")
+def clean_single_passes(spark, d):
+    """Every line machine on every file, with lines of all the kinds that they look for."""
+    extra = "\n".join(["See also", "* * *", "## See also", "Alpha page", "Beta page", "", "Caution", "Mind the gap.", "", "http://a.example.org/x", "http://a.example.org/x", "", "```", "http://b.example.org/", "```", "let x", "```js", "let x", "```",
+                        "| a | b |", "|-|-|", "| 1 | 2", "more |", "|  | 3 |", "* item", "key = value", "```", "1 x = 1", "2 y = 2", "```", "// one", "// two"])
+    return cleaning.single_passes(files(spark, d).withColumn("text", F.concat("text", F.lit("\n" + extra))))
 
 
 @query("nearest_heading_above", f"""WITH {SECTIONS} SELECT n.doc_id, CAST(n.i AS INTEGER) AS line, s.heading FROM numbered n JOIN s ON s.doc_id = n.doc_id AND s.ord = n.ord WHERE NOT n.h""")
@@ -264,3 +313,64 @@ def nearest_heading_above(spark, d):
     is_head = F.col("t").rlike(headings.HEADING)
     rows = raw.withColumn("heading", F.last(F.when(is_head, F.trim(F.regexp_extract("t", r"^#+\s+(.*)$", 1))), ignorenulls=True).over(back))
     return rows.where(~is_head & F.col("heading").isNotNull()).select("doc_id", "line", "heading")
+
+
+@query("summary_prepended", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR coalesce(text, '') = '' THEN coalesce(text, '') WHEN doc_id % 3 = 1 THEN 'S' || doc_id || chr(10) || chr(10) || text ELSE text END AS content FROM documents")
+def summary_prepended(spark, d):
+    """A summary before a table's text, unless there is none or it stands there."""
+    text = F.coalesce("text", F.lit(""))
+    s = F.when((F.col("doc_id") % 3 == 0) | (text == ""), "").when(F.col("doc_id") % 3 == 1, F.concat(F.lit("S"), F.col("doc_id").cast("string"))).otherwise(F.substring(text, 1, 5))
+    return docs(spark, d).select("doc_id", summaries.prepend_summary(text, s).alias("content"))
+
+
+@query("empty_h1_filled", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '# T' || doc_id || chr(10) || chr(10) || 'For information about T' || doc_id || ', see the following:' || chr(10) || chr(10) || '- A' || chr(10) || '- B ' || source || chr(10) || chr(10) ELSE '# T' || doc_id || chr(10) || 'x' || chr(10) END || '## A' || chr(10) || coalesce(text, '') || chr(10) || '## B ' || source AS text FROM (SELECT doc_id, source, replace(text, '#', '') AS text FROM documents) WHERE source IS NOT NULL")
+def empty_h1_filled(spark, d):
+    body = F.concat(F.lit("## A\n"), F.coalesce(F.replace("text", F.lit("#"), F.lit("")), F.lit("")), F.lit("\n## B "), F.col("source"))
+    top = F.concat(F.lit("# T"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, "\n\n").otherwise("\nx\n"))
+    return docs(spark, d).where("source is not null").select("doc_id", cleaning.fill_empty_h1(F.concat(top, body)).alias("text"))
+
+
+@query("top_heading_ensured", "SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), '(^|\\n)# ') OR coalesce(source, '') = '' THEN coalesce(text, '') ELSE '# ' || source || chr(10) || chr(10) || coalesce(text, '') END AS text FROM documents")
+def top_heading_ensured(spark, d):
+    return docs(spark, d).select("doc_id", cleaning.ensure_top_heading(F.coalesce("text", F.lit("")), F.col("source")).alias("text"))
+
+
+SAFE = r"[^A-Za-z]+"
+
+
+@query("pipes_to_csv", "SELECT doc_id, 'x' || chr(10) || '<!-- Data Table -->' || chr(10) || 'Column 1,k' || chr(10) || w || ',' || doc_id || chr(10) || 'z,' || chr(10) || chr(10) || 'y' AS text FROM (SELECT doc_id, 'a' || regexp_replace(coalesce(text, ''), '[^A-Za-z]+', '', 'g') AS w FROM documents)")
+def pipes_to_csv(spark, d):
+    """A pipe table that holds the document's letters: a nameless header and a short row are filled."""
+    w = F.concat(F.lit("a"), F.regexp_replace(F.coalesce("text", F.lit("")), SAFE, ""))
+    text = F.concat(F.lit("x\n| | k |\n|-|-|\n| "), w, F.lit(" | "), F.col("doc_id").cast("string"), F.lit(" |\n| z |\n\ny"))
+    return tables.rewritten(docs(spark, d).select("doc_id", text.alias("text")), tables.pipes_to_csv)
+
+
+@query("tables_moved", "SELECT doc_id, '## A' || chr(10) || 'before' || chr(10) || 'after ' || w || chr(10) || '| h | k |' || chr(10) || '|-|-|' || chr(10) || '| ' || w || ' | 1 |' || chr(10) || chr(10) || '## B' || chr(10) || '| h | k |' || chr(10) || '|-|-|' || chr(10) || '| 2 | 3 |' AS text FROM (SELECT doc_id, 'a' || regexp_replace(coalesce(text, ''), '[^A-Za-z]+', '', 'g') AS w FROM documents)")
+def tables_moved(spark, d):
+    """The tables of one section at its end; those of others stay."""
+    w = F.concat(F.lit("a"), F.regexp_replace(F.coalesce("text", F.lit("")), SAFE, ""))
+    text = F.concat(F.lit("## A\nbefore\n| h | k |\n|-|-|\n| "), w, F.lit(" | 1 |\nafter "), w, F.lit("\n## B\n| h | k |\n|-|-|\n| 2 | 3 |"))
+    return tables.rewritten(docs(spark, d).select("doc_id", text.alias("text")), lambda lines: tables.move_tables_to_end(lines, "A"))
+
+
+@query("comments_unwrapped", "SELECT doc_id, '// one ' || w || ' two' || chr(10) || '/// doc' || chr(10) || 'x' AS text FROM (SELECT doc_id, 'a' || regexp_replace(coalesce(text, ''), '[^A-Za-z]+', '', 'g') AS w FROM documents)")
+def comments_unwrapped(spark, d):
+    w = F.concat(F.lit("a"), F.regexp_replace(F.coalesce("text", F.lit("")), SAFE, ""))
+    return tables.rewritten(docs(spark, d).select("doc_id", F.concat(F.lit("// one\n// "), w, F.lit("\n// two\n/// doc\nx")).alias("text")), cleaning.unwrap_comments)
+
+
+@query("inserted_levels", f"""WITH {SECTIONS}, p AS (SELECT doc_id, ord, level, lag(level) OVER (PARTITION BY doc_id ORDER BY ord) AS b FROM s)
+SELECT doc_id, ord, coalesce(b IS NULL AND level > 1, false) OR coalesce(b = 1 AND level > 2, false) AS insert_h1 FROM p""")
+def inserted_levels(spark, d):
+    return toc.inserted_levels(sections(spark, d).select("doc_id", "ord", "level", F.col("ord").alias("pos"))).select("doc_id", "ord", "insert_h1")
+
+
+@query("title_best_level", "SELECT DISTINCT doc_id, CASE WHEN doc_id % 4 = 3 THEN NULL ELSE CAST(1 + doc_id % 2 AS INTEGER) END AS level FROM documents")
+def title_best_level(spark, d):
+    """Titles by their exact key, else by the most similar at or over the cutoff, else none."""
+    contents = spark.createDataFrame([("Getting started with widgets", 1), ("Reference of all widget calls", 2)], "title string, level int")
+    i = F.col("doc_id")
+    title = F.when(i % 4 == 0, "1.2 Getting  Started: with widgets").when(i % 4 == 1, "Reference of all widget cals").when(i % 4 == 2, "getting startd with widgets").otherwise("Something else")
+    made = toc.best_level(docs(spark, d).select(title.alias("title")).distinct(), contents)
+    return docs(spark, d).select("doc_id", title.alias("title")).join(F.broadcast(made), "title").select("doc_id", "level")

@@ -44,6 +44,20 @@ def language_filter(spark, d):
     return docs(spark, d).where(F.col("lang") == "en").select("doc_id", "lang")
 
 
+_MARKED = ", ".join(f"len(regexp_extract_all(lower(coalesce(text, '')), '\\b(?:{'|'.join(words)})\\b')) AS {lang}" for lang, words in T.MARKERS.items())
+
+
+@query("language_detected", f"WITH c AS (SELECT doc_id, {_MARKED} FROM documents) SELECT doc_id, CASE greatest(en, de, fr, es) WHEN 0 THEN 'und' WHEN en THEN 'en' WHEN de THEN 'de' WHEN fr THEN 'fr' ELSE 'es' END AS lang FROM c")
+def language_detected(spark, d):
+    return docs(spark, d).select("doc_id", T.detected_language(F.coalesce("text", F.lit(""))).alias("lang"))
+
+
+@query("pluggable_token_counts", "SELECT doc_id, CAST(coalesce(len(text) // 4, 0) AS INTEGER) AS tokens FROM documents")
+def pluggable_token_counts(spark, d):
+    """Any counter can stand in for words; here the usual estimate of four characters a token."""
+    return docs(spark, d).select("doc_id", T.counted_tokens(F.col("text"), lambda t: len(t) // 4).alias("tokens"))
+
+
 URLS = "'^[A-Za-z][A-Za-z0-9+.-]*://"
 
 
@@ -245,18 +259,17 @@ def json_fields(spark, d):
 CAPITALS = r"[A-Z][a-z]+"
 
 
-@query("codename_frequency", f"SELECT w AS codename, count(*) AS count, 'camel' AS type FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{CAPITALS}'))) AS w FROM documents) GROUP BY 1")
+@query("codename_frequency", f"SELECT w AS codename, count(*) AS count, 'identifier' AS type FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{CAPITALS}'))) AS w FROM documents) GROUP BY 1")
 def codename_frequency(spark, d):
     return codenames.document_frequency(docs(spark, d), F.regexp_extract_all("text", F.lit(CAPITALS), 0), "doc_id")
 
 
-@query("codename_types", """WITH n AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Constants.k' || doc_id WHEN 1 THEN 'FCodes.f' || doc_id WHEN 2 THEN 'AB_X' || doc_id ELSE 'BigName' || 'Xy' END AS c FROM documents),
-f AS (SELECT c, CASE WHEN starts_with(c, 'Constants.') THEN 'constant' WHEN starts_with(c, 'FCodes.') THEN 'fcode' WHEN starts_with(c, 'AB_') THEN 'macro' ELSE 'camel' END AS type FROM n GROUP BY c)
+@query("codename_types", """WITH n AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'FV_K' || doc_id WHEN 1 THEN 'FP_P' || doc_id WHEN 2 THEN 'F_ApiGetId' WHEN 3 THEN 'F_TextLocT' WHEN 4 THEN 'KBD_F' || doc_id WHEN 5 THEN 'FTI_X' || doc_id ELSE 'BigNameXy' END AS c FROM documents),
+f AS (SELECT c, CASE WHEN starts_with(c, 'FV_') THEN 'value' WHEN starts_with(c, 'FP_') THEN 'property' WHEN starts_with(c, 'F_Api') THEN 'function' WHEN c = 'F_TextLocT' THEN 'struct' WHEN starts_with(c, 'KBD_') THEN 'keyboard' WHEN starts_with(c, 'FTI_') THEN 'text_item' ELSE 'identifier' END AS type FROM n GROUP BY c)
 SELECT coalesce(type, 'TOTAL') AS type, count(*) AS n FROM f GROUP BY ROLLUP (type)""")
 def codename_types(spark, d):
-    i = F.col("doc_id").cast("string")
-    r = F.col("doc_id") % 4
-    name = F.when(r == 0, F.concat(F.lit("Constants.k"), i)).when(r == 1, F.concat(F.lit("FCodes.f"), i)).when(r == 2, F.concat(F.lit("AB_X"), i)).otherwise("BigNameXy")
+    i, r = F.col("doc_id").cast("string"), F.col("doc_id") % 7
+    name = F.when(r == 0, F.concat(F.lit("Constants.FV_K"), i)).when(r == 1, F.concat(F.lit("FP_P"), i)).when(r == 2, "F_ApiGetId").when(r == 3, "F_TextLocT").when(r == 4, F.concat(F.lit("FCodes.KBD_F"), i)).when(r == 5, F.concat(F.lit("FTI_X"), i)).otherwise("BigNameXy")
     text = docs(spark, d).select("doc_id", F.concat(F.lit("see "), name, F.lit(" here")).alias("t"))
     names = F.concat(codenames.prefixed_names(F.col("t")), codenames.camel_names(F.col("t")))
     return codenames.type_counts(codenames.document_frequency(text, names, "doc_id"))
@@ -284,10 +297,11 @@ def long_expansions(spark, d):
     return filters.long_expansions(docs(spark, d).select("doc_id", F.col("source").alias("friendlyname")), least=5)
 
 
-@query("friendly_names", "SELECT doc_id, 'constant value ' || source AS name FROM (SELECT doc_id, regexp_replace(source, '([a-z]+)([0-9]+)', '\\1 \\2') AS source FROM documents)")
+@query("friendly_names", "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'table title ' || source WHEN 1 THEN 'first paragraph in ' || source WHEN 2 THEN 'get id' WHEN 3 THEN 'text location' ELSE 'footnote ' || source END AS name FROM documents")
 def friendly_names(spark, d):
-    code = F.concat(F.lit("Constants.ConstVal"), F.initcap("source"))
-    return docs(spark, d).select("doc_id", codenames.friendly(code, {"const": "constant", "val": "value"}).alias("name"))
+    up, kind = F.upper("source"), F.col("doc_id") % 5
+    code = F.when(kind == 0, F.concat(F.lit("Constants.FV_TBL_TITLE_"), up)).when(kind == 1, F.concat(F.lit("FP_FirstPgfIn"), F.initcap("source"))).when(kind == 2, "F_ApiGetId").when(kind == 3, "F_TextLocT").otherwise(F.concat(F.lit("FCodes.KBD_FOOTNOTE_"), up))
+    return docs(spark, d).select("doc_id", codenames.friendly(code, {"Tbl": "table", "Pgf": "paragraph", "Loc": "location"}).alias("name"))
 
 
 @query("like_search", "SELECT doc_id, source FROM documents WHERE text LIKE '%tion%'")

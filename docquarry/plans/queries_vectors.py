@@ -190,7 +190,11 @@ def scorable_summaries(spark, d):
     return filters.scorable(table(spark, d, "documents").select("doc_id", s.alias("chunk_summary"))).select("doc_id")
 
 
-@query("summaries_made")
+#: The stand-in's answer: the first twelve words after the prompt's last blank line.
+STUB = "array_to_string(list_slice(regexp_extract_all(list_extract(string_split({}, chr(10) || chr(10)), -1), '\\S+'), 1, 12), ' ')"
+
+
+@query("summaries_made", f"SELECT doc_id, CASE WHEN len(regexp_extract_all(coalesce(text, ''), '\\S+')) >= 50 THEN {STUB.format('text')} ELSE '' END AS chunk_summary FROM documents")
 def summaries_made(spark, d):
     """Summaries by the stand-in model for all documents of 50 tokens or more."""
     from docquarry.functions.text import token_count
@@ -203,3 +207,51 @@ def summaries_made(spark, d):
 def stub_embeddings(spark, d):
     """Vectors by the stand-in encoder for the distinct sources, fanned out to all documents."""
     return VT.distinct_encoded(table(spark, d, "documents").select("doc_id", "source"), "source", summaries.encode, "embedding")
+
+
+@query("page_summary_members", f"""WITH c AS (SELECT doc_id, source AS filename, lang AS root_id, 'd' || doc_id AS id, n_chars, substr(coalesce(text, ''), 1, 30) AS head FROM documents),
+p AS (SELECT filename, root_id, string_agg('- ' || head, chr(10) ORDER BY doc_id) FILTER (head <> '') AS page_text FROM c GROUP BY 1, 2)
+SELECT c.doc_id, CASE WHEN coalesce(page_text, '') = '' THEN '' ELSE {STUB.format('page_text')} END AS page_summary FROM c JOIN p USING (filename, root_id)""")
+def page_summary_members(spark, d):
+    """Documents of a source and language as members of a page, each with the page's summary."""
+    rows = table(spark, d, "documents").select("doc_id", F.col("source").alias("filename"), F.col("lang").alias("root_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.col("doc_id").alias("ord"), F.lit("").alias("content"), F.substring(F.coalesce("text", F.lit("")), 1, 30).alias("chunk_summary"))
+    return summaries.page_summaries(rows).select("doc_id", "page_summary")
+
+
+@query("code_summaries", f"SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND coalesce(text, '') <> '' THEN {STUB.format('text')} ELSE 'kept' END AS chunk_summary FROM documents")
+def code_summaries(spark, d):
+    code = (F.col("doc_id") % 3 == 0) & (F.coalesce("text", F.lit("")) != "")
+    rows = table(spark, d, "documents").select("doc_id", F.lit("Docs").alias("concat_header_path"), F.col("text").alias("content"), F.when(code, "example").otherwise("heading").alias("chunk_type"), F.when(code, "").otherwise("kept").alias("chunk_summary"))
+    return summaries.code_summaries(rows).select("doc_id", "chunk_summary")
+
+
+@query("summary_scores", """WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '\\S+')) AS words, list_distinct(regexp_extract_all(lower('zz ' || lang || ' ' || substr(text, 1, 60)), '\\S+')) AS s FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL)
+SELECT doc_id, round(len(list_intersect(s, words)) / len(s), 6) AS score FROM w""")
+def summary_scores(spark, d):
+    rows = table(spark, d, "documents").where("text is not null and lang is not null").select("doc_id", F.col("text").alias("content"), F.concat(F.lit("zz "), "lang", F.lit(" "), F.substring("text", 1, 60)).alias("chunk_summary"))
+    return summaries.scored(rows).select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query("dimension_check", "SELECT min(len(embedding))::INTEGER AS dim FROM embeddings HAVING min(len(embedding)) = max(len(embedding))")
+def dimension_check(spark, d):
+    """The vectors' one dimension, which must be the configured one."""
+    e = table(spark, d, "embeddings")
+    dim = VT.checked_dimension(e, e.select(F.size("embedding").alias("n")).first().n)
+    return spark.createDataFrame([(dim,)], "dim int")
+
+
+@query("table_evolved", "SELECT doc_id AS id, lang, CASE WHEN doc_id % 2 = 0 THEN source END AS source FROM documents")
+def table_evolved(spark, d):
+    """Rows of before a column was there, and of after."""
+    rows = table(spark, d, "documents")
+    old, new = rows.where("doc_id % 2 = 1").select(F.col("doc_id").alias("id"), "lang"), rows.where("doc_id % 2 = 0").select(F.col("doc_id").alias("id"), "lang", "source")
+    return VT.evolved(old, new.schema).unionByName(new)
+
+
+@query("vector_index")
+def vector_index(spark, d):
+    """Every row whose id is divisible by 20 against an inverted-file index of all rows: approximate, so without SQL; a test measures its recall."""
+    from docquarry.operators import vector_index as VI
+
+    e = table(spark, d, "embeddings")
+    return VI.search(VI.build(e), e.where("vec_id % 20 = 0"))

@@ -88,6 +88,50 @@ def read_provenance(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
+def write_provenance(spark: SparkSession, provenance: dict, path: str) -> None:
+    """The one provenance of a run, as a dataset of one JSON line. What was there is replaced only once the new one is written."""
+    import json
+
+    spark.createDataFrame([(json.dumps(provenance, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def update_provenance(spark: SparkSession, path: str, stage: str, fields: dict, target: str, required: bool = False) -> dict:
+    """The provenance under ``path`` with what a stage adds, written to ``target``; without one there it starts anew, or is an error if ``required``."""
+    import json
+
+    try:
+        lines = [r.value for r in spark.read.text(path).limit(2).collect()]
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        lines = []
+    if not lines and required:
+        raise FileNotFoundError(path)
+    held = json.loads(lines[0]) if lines else {}
+    held[stage] = held.get(stage, {}) | fields
+    write_provenance(spark, held, target)
+    return held
+
+
+def persist_embeddings(chunks: DataFrame, root: str, dim: int, sidecar: bool = True, inline: bool = False) -> int:
+    """How many vectors were written. Chunks go to ``root``/chunks, without vectors unless ``inline`` or there is no sidecar; vectors to ``root``/vectors.
+
+    If there were vectors and none was written, that is an error.
+    """
+    made = chunks.where(F.col("embedding").isNotNull()).count()
+    spark, kept = chunks.sparkSession, 0
+    with_vectors = inline or not sidecar
+    (chunks if with_vectors else chunks.drop("embedding", "embedding_summary_chunk", "embedding_summary_page")).write.json(f"{root}/chunks")
+    if with_vectors:
+        kept = made
+    if sidecar:
+        write_sidecar(chunks, f"{root}/vectors", dim)
+        kept = max(kept, spark.read.parquet(f"{root}/vectors").count())
+    if made and not kept:
+        raise ValueError(f"{made} vectors were made and none was written")
+    return kept
+
+
 def write_chunks(chunks: DataFrame, path: str, json: bool = False) -> None:
     """Chunks as Parquet, or as JSON lines without their vectors."""
     if json:

@@ -108,3 +108,17 @@ def test_best_level(spark):
     assert {r.title: r.level for r in toc.best_level(titles, contents).collect()} == {"1. Intro": 1, "Setup guides": 2, "zzz": None}
     marks = toc.inserted_levels(spark.createDataFrame([(1, 0, 2, "a"), (1, 1, 1, "b"), (1, 2, 3, "c")], "doc_id long, pos int, level int, title string"))
     assert [r.insert_h1 for r in marks.orderBy("pos").collect()] == [True, False, True]
+
+
+def test_the_gate_opens_by_front_matter(spark):
+    body = "# T\n## H\ntext of more than thirty characters here\n* one\n* two"
+    rows = [(1, "---\ncategory: Adobe Connect\n---\n" + body), (2, body), (3, "---\nother: adobe connect\n---\n" + body), (4, None)]
+    got = {r.k: r.text for r in C.clean(spark.createDataFrame(rows, "k int, text string")).collect()}
+    assert "\n\n- one\n\n- two" in got[1] and "* one\n* two" in got[2] and "* one" in got[3] and got[4] is None
+
+
+def test_front_matter_is_no_content(spark):
+    from docquarry.operators import headings
+
+    rows = headings.chunks(spark.createDataFrame([(1, "a.md", "---\n# not a heading: x\ntitle: t\n---\n# A\nbody")], "doc_id long, filename string, text string")).collect()
+    assert [(r.heading, r.content) for r in rows] == [("A", "body")]

@@ -1,8 +1,10 @@
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from docquarry.operators import codenames, filters, summaries
+from docquarry.operators import vector_index as VI
 from docquarry.operators import vector_table as VT
 from docquarry.plans import config, flow, registry
 
@@ -30,8 +32,8 @@ def test_dictionary_prefers_the_longest(spark):
     df = spark.createDataFrame([(1, "FooBar Foo"), (2, "none"), (3, None)], "k int, text string")
     got = {r.k: r.names for r in codenames.enrich(df, {"Foo": "short", "FooBar": "long"}, "k").collect()}
     assert got == {1: "long; short", 2: None, 3: None}
-    names = spark.createDataFrame([("see Constants.FooBar and BigName, XY_ONE",)], "t string").select(codenames.camel_names(F.col("t")).alias("c"), codenames.prefixed_names(F.col("t")).alias("p")).first()
-    assert names.c == ["BigName"] and names.p == ["Constants.FooBar", "XY_ONE"]
+    names = spark.createDataFrame([("see Constants.FV_FooBar and BigName, FTI_ONE, F_ApiGetId, F_TextLocT, FCodes.KBD_A",)], "t string").select(codenames.camel_names(F.col("t")).alias("c"), codenames.prefixed_names(F.col("t")).alias("p")).first()
+    assert names.c == ["BigName"] and names.p == ["Constants.FV_FooBar", "FTI_ONE", "F_ApiGetId", "F_TextLocT", "FCodes.KBD_A"]
 
 
 def test_filters(spark):
@@ -81,3 +83,58 @@ def test_queries_match_their_oracles(spark, name):
     for t in ("documents", "pages", "embeddings", "events", "nation", "orders", "customer", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     assert same(registry.queries()[name](spark, DATA).toPandas(), con.execute(registry.oracle_sql()[name]).df())
+
+
+def test_exact_search_in_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((60, 4)))], "vec_id long, embedding array<double>")
+    asked = rows.where("vec_id % 3 = 0")
+    one, many = (sorted(map(tuple, VT.cosine_top_k(asked, rows, 4, block=b).collect())) for b in (10_000, 16))
+    assert one == many and len(one) == 80
+
+
+def test_vector_index_recall_and_odd_rows(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((20, 12))
+    v = centres[rng.integers(0, 20, 3000)] + 0.3 * rng.standard_normal((3000, 12))
+    rows = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(5000, None), (5001, [0.0] * 12), (5002, [])], "vec_id long, embedding array<double>")
+    index = VI.build(rows, cells=30)
+    asked = rows.where("vec_id % 20 = 0")
+    got = {(r.query_id, r.vec_id) for r in VI.search(index, asked, probes=6).collect()}
+    want = {(r.query_id, r.vec_id) for r in VT.cosine_top_k(asked, rows).collect()}
+    assert index.rows.count() == 3000 and len(got & want) >= 0.9 * len(want)
+    whole = {(r.query_id, r.vec_id) for r in VI.search(index, asked, probes=30).collect()}
+    assert len(whole & want) >= 0.99 * len(want)  # the index holds unit vectors, so near ties may change places
+    assert VI.search(VI.build(rows.limit(0)), asked).count() == 0
+
+
+def test_dimensions_are_checked(spark):
+    rows = spark.createDataFrame([("a", [1.0, 2.0]), ("b", None)], "id string, embedding array<float>")
+    assert VT.checked_dimension(rows, 2) == 2 and VT.checked_dimension(rows, 3, fail=False) is None
+    with pytest.raises(ValueError):
+        VT.checked_dimension(rows, 3)
+    with pytest.raises(ValueError):
+        VT.require_vectors(rows.where("embedding is null"))
+    assert VT.reconciled(rows.limit(0), 5).columns == ["id", "embedding", "embedding_summary_chunk", "embedding_summary_page"]
+    with pytest.raises(ValueError):
+        VT.reconciled(rows, 5)
+    with pytest.raises(TypeError):
+        VT.evolved(rows, spark.createDataFrame([], "id long").schema)
+
+
+def test_page_summaries_reach_their_members(spark):
+    rows = spark.createDataFrame([("f", "r", "r", 0, "top text", ""), ("f", "r", "c", 1, "x", "child one"), ("f", None, "z", 2, "y", "")], "filename string, root_id string, id string, ord int, content string, chunk_summary string")
+    got = {r.id: r.page_summary for r in summaries.page_summaries(rows).collect()}
+    assert got == {"r": "top text - child one", "c": "top text - child one", "z": ""}
+
+
+def test_trimmed_means_against_brute_force(spark):
+    rng = np.random.default_rng(9)
+    values = [("a", float(x)) for x in rng.integers(0, 7, 501)] + [("b", float(x)) for x in rng.standard_normal(83)] + [("c", 1.0), ("a", None)]
+    df = spark.createDataFrame(values, "k string, v double")
+    for share in (0.0, 0.1, 0.3, 0.5):
+        for r in summaries.trimmed_mean(df, "v", "k", share).collect():
+            x = np.sort([v for k, v in values if k == r.k and v is not None])
+            cut = int(len(x) * share)
+            want = np.median(x) if share >= 0.5 else x[cut : len(x) - cut].mean() if 2 * cut < len(x) else x.mean()
+            assert r.trimmed == pytest.approx(want) and r["mean"] == pytest.approx(x.mean()) and r.percentile == pytest.approx(np.quantile(x, 0.2))

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from docquarry.sources import crawl, documents, files
@@ -75,3 +76,48 @@ def test_streaming_ingestion(spark, tmp_path):
         docs.where("doc_id between 40 and 60").write.mode("append").parquet(str(tmp_path / "in"))
     last = spark.read.parquet(str(tmp_path / "out" / "version=1"))
     assert last.groupBy("id").count().where("count > 1").isEmpty() and last.agg(F.max("doc_id")).first()[0] == 60
+
+
+def test_links_are_resolved(spark):
+    cases = {
+        "b.html": "https://h/a/b.html", "../x": "https://h/x", "./y/./z": "https://h/a/y/z", "../../../up": "https://h/up", "//o.org/z": "https://o.org/z", "/r?q=1&amp;b": "https://h/r?q=1&b", "?p=2": "https://h/a/c.html?p=2",
+        "http://k/l": "http://k/l", "..": "https://h/", "mailto:a@b": None, "javascript:x()": None, "tel:1": None,
+    }
+    html = "".join(f'<a href="{h}">x</a>' for h in cases)
+    df = spark.createDataFrame([("https://h/a/c.html?old=1", html), ("https://bare", '<a href="x">')], "url string, html string")
+    got = sorted(r.target for r in crawl.links(df).collect())
+    assert got == sorted([*filter(None, cases.values()), "https://bare/x"])
+
+
+def test_a_missing_version_is_an_error(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, ord int, v string")
+    ingest.merge_batch(spark, root, rows(("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z")), 0)
+    assert {tuple(r) for r in spark.read.parquet(f"{root}/version=0").collect()} == {("a", 1, "y"), ("b", 0, "z")}
+    with pytest.raises(FileNotFoundError):
+        ingest.merge_batch(spark, root, rows(("c", 0, "w")), 2)
+    for _ in range(2):
+        ingest.merge_batch(spark, root, rows(("b", 5, "new")), 1)
+    assert {tuple(r) for r in spark.read.parquet(f"{root}/version=1").collect()} == {("a", 1, "y"), ("b", 5, "new")}
+
+
+def test_provenance_and_vectors_are_persisted(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    files.write_provenance(spark, {"prov_id": "p", "chunk": {"model": "m"}}, at("0"))
+    files.update_provenance(spark, at("0"), "embed", {"vector_dim": 2}, at("1"))
+    assert files.update_provenance(spark, at("1"), "embed", {"model": "e"}, at("2")) == {"prov_id": "p", "chunk": {"model": "m"}, "embed": {"vector_dim": 2, "model": "e"}}
+    assert files.update_provenance(spark, at("none"), "embed", {"a": 1}, at("3")) == {"embed": {"a": 1}}
+    with pytest.raises(FileNotFoundError):
+        files.update_provenance(spark, at("none"), "embed", {}, at("4"), required=True)
+    rows = spark.createDataFrame([("a", [1.0, 2.0]), ("b", None)], "id string, embedding array<float>")
+    assert files.persist_embeddings(rows, at("e"), 2) == 1 and "embedding" not in spark.read.json(at("e") + "/chunks").columns
+    assert files.persist_embeddings(rows, at("f"), 2, sidecar=False) == 1 and "embedding" in spark.read.json(at("f") + "/chunks").columns
+    with pytest.raises(ValueError):
+        files.persist_embeddings(rows, at("g"), 3)
+
+
+def test_a_page_that_comes_twice_is_one_file(spark, tmp_path):
+    rows = [(1, "https://h/a#x", "<h1>A</h1>", "one"), (2, "https://h/a", "<h1>A</h1>", "two"), (3, "https://h/", "<h1>I</h1>", "root")]
+    files.write_pages(spark.createDataFrame(rows, "page_id long, url string, html string, markdown string"), str(tmp_path / "p"))
+    got = {r.filename: r.text for r in spark.read.parquet(str(tmp_path / "p")).collect()}
+    assert set(got) == {"a.md", "index.md"} and got["a.md"].endswith("one")
