@@ -182,6 +182,28 @@ def merged_tags(*tags: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(every, lambda t: F.trim(t)), lambda t: t != ""))
 
 
+def merged_metadata(text: Column, title: Column, description: Column, tags: Column) -> Column:
+    """(title, description, tags, body): a page's own front matter merged into the run's.
+
+    Its title is added to the run's, its description replaces the run's, and all
+    other fields become tags "key=value" after those that are there (given with
+    commas, semicolons or bars); commas in values are spaces.
+    """
+
+    def merge(parsed: Column) -> Column:
+        meta = parsed["meta"]
+        of = lambda k: F.coalesce(F.try_element_at(meta, F.lit(k)), F.try_element_at(meta, F.lit(k.capitalize())), F.lit(""))
+        others = F.filter(F.map_entries(meta), lambda e: ~F.lower(e["key"]).isin("title", "description") & (e["value"] != ""))
+        pairs = F.transform(others, lambda e: F.concat(e["key"], F.lit("="), F.trim(F.replace(e["value"], F.lit(","), F.lit(" ")))))
+        given = F.filter(F.transform(F.split(F.coalesce(tags, F.lit("")), "[|;,]"), lambda t: F.trim(t)), lambda t: t != "")
+        held = F.split(F.coalesce(title, F.lit("")), " - ")
+        named = F.when((of("title") == "") | F.array_contains(held, of("title")), F.coalesce(title, F.lit(""))).when(F.coalesce(title, F.lit("")) == "", of("title")).otherwise(F.concat(title, F.lit(" - "), of("title")))
+        said = F.when(of("description") != "", of("description")).otherwise(F.coalesce(description, F.lit("")))
+        return F.struct(named.alias("title"), said.alias("description"), F.array_join(F.array_distinct(F.concat(given, pairs)), ", ").alias("tags"), parsed["body"].alias("body"))
+
+    return let(parse_front_matter(F.coalesce(text, F.lit(""))), merge)
+
+
 # --- report lines and small formats
 
 

@@ -97,15 +97,22 @@ def find_code(text: str) -> list[tuple[int, int, str, str]]:
 
 
 PY_START = re.compile(r"(?:async )?def \w|class \w")
+PY_DEF = re.compile(r"def\s+\w")
+JS_FUNCTION = re.compile(r"(?:export\s+)?(?:async\s+)?function\s+\w")
+SCRIPTS = ("javascript", "typescript", "jsx", "tsx", "extendscript")
 JS_START = re.compile(r"(?:export\s+)?(?:default\s+)?(?:async\s+)?function\b\s*\w*\s*\(|(?:export\s+)?(?:const|let|var)\s+\w+\s*=\s*(?:async\s*)?(?:function\s*\(|\([^)]*\)\s*=>\s*\{)")
 
 
 def split_code(code: str, language: str) -> list[str]:
-    """Top-level functions with the comments right above them, and what stands before the first; other code whole."""
+    """Top-level functions with the comments right above them, and what stands before the first; other code whole.
+
+    Untagged code, or code tagged as something else, counts as the language whose top-level functions it has.
+    """
     lines = code.split("\n")
-    if language == "python":
+    shows = lambda start: any(start.match(x) for x in lines)
+    if language == "python" or language not in SCRIPTS and shows(PY_DEF):
         starts_at, comment = (lambda x: PY_START.match(x)), ("#", "@")
-    elif language in ("javascript", "typescript"):
+    elif language in SCRIPTS or shows(JS_FUNCTION):
         starts_at, comment = (lambda x: JS_START.match(x)), ("//", "/*", "*")
     else:
         return [code]

@@ -82,10 +82,10 @@ def aligned(lines: list[str], toc: list[tuple[int, str]], cutoff: float = 0.92)
     return out
 
 
-ALIGNED = "doc_id long, n_matched int, text string"
+ALIGNED = "n_matched int, text string"
 
 
-def align(files: DataFrame, toc: DataFrame, cutoff: float = 0.92) -> DataFrame:
+def align(files: DataFrame, toc: DataFrame, cutoff: float = 0.92, key: str = "long") -> DataFrame:
     """Each file's text with headings by its contents (doc_id, pos, level, title), and how many entries were met.
 
     The contents become one array by file, so that a file and its contents meet
@@ -104,7 +104,7 @@ def align(files: DataFrame, toc: DataFrame, cutoff: float = 0.92) -> DataFrame:
                 out.append((doc, sum(a != b for a, b in zip(lines, made, strict=True)), "\n".join(made)))
             yield pd.DataFrame(out, columns=["doc_id", "n_matched", "text"])
 
-    return files.select("doc_id", "text").join(entries, "doc_id", "left").mapInPandas(run, ALIGNED)
+    return files.select("doc_id", "text").join(entries, "doc_id", "left").mapInPandas(run, f"doc_id {key}, {ALIGNED}")
 
 
 def synthetic(files: DataFrame) -> tuple[DataFrame, DataFrame]:

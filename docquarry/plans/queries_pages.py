@@ -207,6 +207,15 @@ def merged_title(spark, d):
     return docs(spark, d).select("doc_id", T.merged_title(old, F.col("source")).alias("title"))
 
 
+@query("merged_metadata", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Guide - Page ' || doc_id ELSE 'Guide' END AS title, CASE WHEN doc_id % 2 = 0 THEN 'about ' || source ELSE 'general' END AS description,
+'one, two' || CASE WHEN doc_id % 2 = 0 THEN ', lang=' || lang || ' x' ELSE '' END AS tags, coalesce(text, '') AS body FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL""")
+def merged_metadata(spark, d):
+    rows = docs(spark, d).where("source is not null and lang is not null")
+    head = F.concat(F.lit("---\ntitle: Page "), F.col("doc_id").cast("string"), F.lit("\ndescription: about "), "source", F.lit("\nlang: "), "lang", F.lit(",x\nempty: \n---\n"))
+    text = F.concat(F.when(F.col("doc_id") % 2 == 0, head).otherwise(""), F.coalesce("text", F.lit("")))
+    return rows.select("doc_id", T.merged_metadata(text, F.lit("Guide"), F.lit("general"), F.lit("one;two|one")).alias("m")).select("doc_id", "m.*")
+
+
 @query("name_hashes", "SELECT page_id, substr(sha1(url), 1, 8) AS sha1_8, substr(md5(url), 1, 8) AS md5_8, substr(sha256(url), 1, 12) AS sha256_12 FROM pages")
 def name_hashes(spark, d):
     u = F.col("url")

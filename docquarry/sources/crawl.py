@@ -135,19 +135,39 @@ def deep_crawl(spark: SparkSession, seeds: list[str], fetch: Fetcher = no_networ
 
 
 class _Markdown(html.parser.HTMLParser):
-    """HTML to markdown: ATX headings, dash bullets, fences for preformatted text; images and dropped elements leave nothing."""
+    """HTML to markdown: ATX headings, dash bullets, fences for preformatted text; images and dropped elements leave nothing.
+
+    drop, keep: selectors of elements to leave out and, if there are any, of those
+    that alone are read: a tag, .class, #id, or a tag with either.
+    """
 
     DROP = frozenset(("script", "style", "nav", "footer", "header", "aside", "noscript", "template", "svg"))
     VOID = frozenset(("img", "br", "hr", "input", "meta", "link"))
 
-    def __init__(self, drop: frozenset[str]):
+    def __init__(self, drop: frozenset[str], keep: tuple[str, ...] = ()):
         super().__init__(convert_charrefs=True)
-        self.drop, self.out, self.hidden, self.href, self.pre, self.lists = drop, [], 0, [], 0, []
+        self.drop, self.keep, self.out, self.href, self.pre, self.lists = tuple(drop), keep, [], [], 0, []
+        self.open: list[tuple[str, bool, bool]] = []  # of each open element: its tag, whether it hides, whether it shows
+
+    @property
+    def hidden(self) -> bool:
+        return any(h for _, h, _ in self.open) or bool(self.keep) and not any(s for *_, s in self.open)
+
+    @staticmethod
+    def selects(selectors: tuple[str, ...], tag: str, attrs: dict[str, str | None]) -> bool:
+        classes = (attrs.get("class") or "").split()
+        for s in selectors:
+            name, sign, value = re.match(r"([\w-]*)([.#]?)(.*)", s).groups()
+            if (not name or name == tag) and (not sign or (value in classes if sign == "." else value == attrs.get("id"))):
+                return True
+        return False
 
     def handle_starttag(self, tag, attrs):
-        if tag in self.drop:
-            self.hidden += tag not in self.VOID
-        if self.hidden:
+        named = dict(attrs)
+        hides = self.selects(self.drop, tag, named)
+        if tag not in self.VOID:
+            self.open.append((tag, hides, self.selects(self.keep, tag, named)))
+        if self.hidden or hides:
             return
         if re.fullmatch("h[1-6]", tag):
             self.out.append("\n\n" + "#" * int(tag[1]) + " ")
@@ -178,10 +198,11 @@ class _Markdown(html.parser.HTMLParser):
             self.out.append("[")
 
     def handle_endtag(self, tag):
-        if tag in self.drop and tag not in self.VOID:
-            self.hidden = max(0, self.hidden - 1)
-            return
-        if self.hidden:
+        hidden = self.hidden
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        if at is not None:
+            del self.open[at:]  # what was left open within it ends too
+        if hidden:
             return
         if re.fullmatch("h[1-6]", tag) or tag in ("p", "div", "section", "article", "table", "blockquote"):
             self.out.append("\n\n")
@@ -210,8 +231,8 @@ class _Markdown(html.parser.HTMLParser):
             self.out.append(data if self.pre else re.sub(r"\s+", " ", data))
 
 
-def html_to_markdown(page: str, drop: tuple[str, ...] = ()) -> str:
-    parser = _Markdown(_Markdown.DROP | frozenset(drop))
+def html_to_markdown(page: str, drop: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> str:
+    parser = _Markdown(_Markdown.DROP | frozenset(drop), keep)
     parser.feed(page)
     parser.close()
     text = "\n".join(x.rstrip() for x in "".join(parser.out).split("\n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -102,3 +103,53 @@ def converted(spark: SparkSession, root: str, convert: Converter, pattern: str =
 def joined_halves(parts: DataFrame) -> DataFrame:
     """(doc_id, text): the converted parts (doc_id, part, text) of each document in order, with a blank line between."""
     return parts.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "text"))), lambda p: p["text"]), "\n\n").alias("text"))
+
+
+Outline = Callable[[bytes], list[tuple[int, str]]]
+OBJECT = re.compile(rb"(\d+) \d+ obj(.*?)endobj", re.S)
+
+
+def plain_outline(body: bytes) -> list[tuple[int, str]]:
+    """(level, title) of a PDF's bookmarks, depth first, where its outline objects are not compressed."""
+    objects = {int(m[1]): m[2] for m in OBJECT.finditer(body)}
+    ref = lambda o, name: next((int(m[1]) for m in [re.search(rb"/" + name + rb"\s+(\d+)\s+\d+\s+R", o)] if m), None)
+
+    def title(o: bytes) -> str:
+        if m := re.search(rb"/Title\s*<([0-9A-Fa-f\s]*)>", o):
+            raw = bytes.fromhex(re.sub(rb"\s", b"", m[1]).decode())
+        elif m := re.search(rb"/Title\s*\(((?:\\.|[^\\)])*)\)", o, re.S):
+            raw = re.sub(rb"\\([()\\])", rb"\1", m[1])
+        else:
+            return ""
+        return raw[2:].decode("utf-16-be", "replace") if raw[:2] == b"\xfe\xff" else raw.decode("latin-1")
+
+    out: list[tuple[int, str]] = []
+    root = next((o for o in objects.values() if re.search(rb"/Type\s*/Outlines\b", o)), b"")
+    stack, seen = [(ref(root, b"First"), 1)], set()
+    while stack:
+        at, level = stack.pop()
+        if at is None or at in seen or at not in objects:
+            continue
+        seen.add(at)
+        o = objects[at]
+        out.append((level, title(o)))
+        stack += [(ref(o, b"Next"), level), (ref(o, b"First"), level + 1)]
+    return out
+
+
+def bookmarks(spark: SparkSession, root: str, outline: Outline = plain_outline, pattern: str = "*.pdf") -> DataFrame:
+    """(filename, pos, level, title): the bookmarks of each document; one that can't be read has none."""
+    scratch.ship(spark)
+
+    @F.pandas_udf("array<struct<level:int,title:string>>")
+    def read(bodies: pd.Series) -> pd.Series:
+        def one(b: bytes) -> list[dict]:
+            try:
+                return [{"level": n, "title": t} for n, t in outline(bytes(b))]
+            except Exception:  # noqa: BLE001  one bad document must not end the run
+                return []
+
+        return bodies.map(one)
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return found.select(relative_name(root).alias("filename"), F.posexplode(read("content")).alias("pos", "e")).select("filename", "pos", "e.level", "e.title")

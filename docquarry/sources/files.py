@@ -155,6 +155,18 @@ def write_codenames(names: DataFrame, path: str) -> None:
     names.select("count", "type", "codename", "friendlyname", "review").orderBy("type", F.desc("count"), "codename").coalesce(1).write.csv(path, header=True)
 
 
+def write_token_tree(sections: DataFrame, path: str) -> None:
+    """The token report as lines, of each file in its order; files stay whole."""
+    tree = sections.select("filename", "ord", X.tree_line(F.col("level"), F.col("heading"), F.col("token_count")).alias("value"))
+    tree.repartitionByRange("filename").sortWithinPartitions("filename", "ord").select("value").write.text(path)
+
+
+def write_duplicates(duplicates: DataFrame, path: str) -> None:
+    """Headings that are there more than once, by their parents' path, level and heading."""
+    line = F.format_string("%s | %s | H%d %s | %d times, lines %s", "filename", "parent_path", "level", "heading", "n", "lines")
+    duplicates.orderBy("parent_path", "level", "heading", "filename").select(line.alias("value")).write.text(path)
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     lines.select(F.col(lines.columns[0]).alias("value")).write.text(path)
 

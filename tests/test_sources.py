@@ -121,3 +121,45 @@ def test_a_page_that_comes_twice_is_one_file(spark, tmp_path):
     files.write_pages(spark.createDataFrame(rows, "page_id long, url string, html string, markdown string"), str(tmp_path / "p"))
     got = {r.filename: r.text for r in spark.read.parquet(str(tmp_path / "p")).collect()}
     assert set(got) == {"a.md", "index.md"} and got["a.md"].endswith("one")
+
+
+def test_selectors_choose_what_is_read():
+    page = '<div class="nav x">menu</div><main id="m"><p>one<p>two<div class="ad">buy</div></main><p>out'
+    read = crawl.html_to_markdown
+    assert read(page, (".ad",), ("#m",)).split() == ["one", "two"]
+    assert read(page, ("div.nav", "div.ad")).split() == ["one", "two", "out"] and "menu" in read(page)
+    assert read("<article><nav>n</nav>a</article>b", keep=("article",)) == "a"
+
+
+PDF = rb"""%PDF-1.4
+1 0 obj <</Type /Catalog /Outlines 2 0 R>> endobj
+2 0 obj <</Type /Outlines /First 3 0 R /Last 5 0 R>> endobj
+3 0 obj <</Title (One \(1\)) /Parent 2 0 R /Next 5 0 R /First 4 0 R>> endobj
+4 0 obj <</Title (Sub) /Parent 3 0 R>> endobj
+5 0 obj <</Title <FEFF00E90032> /Parent 2 0 R /Prev 3 0 R>> endobj"""
+
+
+def test_bookmarks_and_pdf_stages(spark, tmp_path):
+    from docquarry.plans import pdf
+    from docquarry.plans.config import PdfConfig
+
+    (tmp_path / "a.pdf").write_bytes(PDF)
+    (tmp_path / "bad.pdf").write_bytes(b"nothing")
+    rows = documents.bookmarks(spark, str(tmp_path)).orderBy("filename", "pos").collect()
+    assert [(r.filename, r.pos, r.level, r.title) for r in rows] == [("a.pdf", 0, 1, "One (1)"), ("a.pdf", 1, 2, "Sub"), ("a.pdf", 2, 1, "\u00e92")]
+    convert = lambda b: "One (1)\ntext\nSub\n```json\n{\"a\":1}\n```\n\u00e92\nend" if b.startswith(b"%PDF") else 1 / 0
+    got = [(r.heading, r.header_level, r.content) for r in pdf.chunks(spark, str(tmp_path), convert).orderBy("ord").collect()]
+    assert got == [("One (1)", 1, "text"), ("Sub", 2, '```json\n{\n  "a": 1\n}\n```'), ("\u00e92", 1, "end")]
+    assert pdf.chunks(spark, str(tmp_path), convert, PdfConfig(fix_headings=False, fix_code=False)).count() == 0
+    pages = spark.createDataFrame([(i,) for i in range(10)], "page long")
+    assert [r.page for r in pdf.kept_pages(spark, pages, PdfConfig(skip_front=2, skip_back=1, skip_ranges=((5, 6),))).orderBy("page").collect()] == [2, 3, 6, 7, 8]
+
+
+def test_reports_are_ordered(spark, tmp_path):
+    from docquarry.operators import headings
+
+    df = spark.createDataFrame([(1, "a.md", "# A\n## B\nx\n## B\n# A\ny z"), (2, "b.md", "# Q\nw")], "doc_id long, filename string, text string")
+    files.write_duplicates(headings.duplicate_headings(headings.sections(df)), str(tmp_path / "d"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "d")).collect()] == ["a.md |  | H1 A | 2 times, lines 1,5", "a.md | A | H2 B | 2 times, lines 2,4"]
+    files.write_token_tree(headings.sections(df).withColumn("token_count", F.lit(3)), str(tmp_path / "t"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "t")).collect())[0].strip().startswith("3")

@@ -133,3 +133,10 @@ def test_queries_without_sql_read_whole_lines(spark, tmp_path, name):
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     out = " ".join(str(v) for r in registry.queries()[name](spark, str(tmp_path)).collect() for v in r)
     assert all(f"tail{i}." in out for i in range(12))
+
+
+def test_untagged_code_is_split_by_its_functions():
+    code = "x = 1\ndef f():\n    return 1\n# about g\ndef g():\n    return 2"
+    assert tables.split_code(code, "") == tables.split_code(code, "python") == ["x = 1", "def f():\n    return 1", "# about g\ndef g():\n    return 2"]
+    script = "var a = 1;\nfunction f() {\n}\nexport async function g() {\n}"
+    assert len(tables.split_code(script, "")) == len(tables.split_code(script, "extendscript")) == 3 and tables.split_code("plain words", "") == ["plain words"]
