@@ -8,8 +8,9 @@ Documents are tokenised once, in place; only (doc_id, piece, start, length,
 checksum) is written to the shared folder, counted, and dealt by a hash to
 packers of about ``per_packer`` pieces. What a packer holds is bounded by its
 open bins, and the space that its last bins leave is amortised over its pieces.
-Pieces are put in an order that depends on their content alone, so a packer
-that runs again after a lost executor gives the same sequences.
+Pieces are put in an order that the written table fixes, so a packer that runs
+again after a lost executor gives the same sequences; rows that are the same in
+everything are dealt to packers like any others.
 
 Cases: a null or empty text is the end-of-text id alone; a null doc_id is
 passed on; repeated rows are packed each; an empty table gives an empty result;
@@ -132,7 +133,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, open_bins: int = OPEN_BINS, per_packer: int = PER_PACKER) -> DataFrame:
     """``pieces`` with the sequence each lies in and its offset there."""
-    cut = scratch.materialize(pieces(docs, vocabulary, capacity, end_id), "pieces")
+    # the number tells rows apart that are the same in everything; it is fixed once the table is written
+    cut = scratch.materialize(pieces(docs, vocabulary, capacity, end_id).withColumn("_row", F.monotonically_increasing_id()), "pieces")
     packers = max(1, -(-cut.count() // per_packer))
     scratch.ship(docs.sparkSession)
 
@@ -142,6 +144,6 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
             at = [bins.put(n) for n in batch.column("length").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([base + x[0] for x in at], pa.int64()), pa.array([x[1] for x in at], pa.int64())], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    order = F.xxhash64("doc_id", "piece", "ids_crc32")
-    dealt = cut.withColumn("_order", order).repartition(packers, F.col("_order")).sortWithinPartitions("_order", "doc_id", "piece", "start", "length", "ids_crc32")
-    return dealt.drop("_order").mapInArrow(place, PIECES + ", sequence_id long, offset long")
+    order = F.xxhash64("doc_id", "piece", "ids_crc32", "_row")
+    dealt = cut.withColumn("_order", order).repartition(packers, F.col("_order")).sortWithinPartitions("_order", "_row")
+    return dealt.drop("_order", "_row").mapInArrow(place, PIECES + ", sequence_id long, offset long")

@@ -54,3 +54,12 @@ def test_round_trip(spark):
         assert at <= 1024
     assert len(by_seq) <= -(-total // 1024) + 3
     assert packing.pack(df.limit(0), PATH).count() == 0
+
+
+def test_rows_that_are_the_same_are_dealt_to_all_packers(spark):
+    df = spark.createDataFrame([(None, "same words here")] * 900 + [(5, "same words here")] * 300, "doc_id long, text string").repartition(4)
+    rows = packing.pack(df, PATH, per_packer=100).collect()
+    packers = {}
+    for r in rows:
+        packers[r.sequence_id >> 40] = packers.get(r.sequence_id >> 40, 0) + 1
+    assert len(rows) == 1200 and len(packers) == 12 and max(packers.values()) < 200
