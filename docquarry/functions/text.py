@@ -44,8 +44,12 @@ MARKERS = {"en": ("the", "and", "of", "is", "that"), "de": ("der", "und", "die",
 
 def detected_language(text: Column) -> Column:
     """The language whose marker words occur most often, the first of equals; "und" where none does."""
-    counts = [F.struct(F.regexp_count(F.lower(text), F.lit(rf"\b(?:{'|'.join(words)})\b")).alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang")) for i, (lang, words) in enumerate(MARKERS.items())]
-    return let(F.greatest(*counts), lambda best: F.when(best["n"] > 0, best["lang"]).otherwise("und"))
+
+    def best(words: Column) -> Column:
+        counts = [F.struct(F.size(F.filter(words, lambda w: w.isin(*own))).alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang")) for i, (lang, own) in enumerate(MARKERS.items())]
+        return let(F.greatest(*counts), lambda b: F.when(b["n"] > 0, b["lang"]).otherwise("und"))
+
+    return let(F.split(F.lower(text), r"[^\p{L}]+"), best)
 
 
 def collapse_space(text: Column) -> Column:

@@ -44,10 +44,10 @@ def language_filter(spark, d):
     return docs(spark, d).where(F.col("lang") == "en").select("doc_id", "lang")
 
 
-_MARKED = ", ".join(f"len(regexp_extract_all(lower(coalesce(text, '')), '\\b(?:{'|'.join(words)})\\b')) AS {lang}" for lang, words in T.MARKERS.items())
+_MARKED = ", ".join(f"len(list_filter(words, lambda w: w IN ({', '.join(repr(w) for w in words)}))) AS {lang}" for lang, words in T.MARKERS.items())
 
 
-@query("language_detected", f"WITH c AS (SELECT doc_id, {_MARKED} FROM documents) SELECT doc_id, CASE greatest(en, de, fr, es) WHEN 0 THEN 'und' WHEN en THEN 'en' WHEN de THEN 'de' WHEN fr THEN 'fr' ELSE 'es' END AS lang FROM c")
+@query("language_detected", f"WITH c AS (SELECT doc_id, {_MARKED} FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}]+') AS words FROM documents)) SELECT doc_id, CASE greatest(en, de, fr, es) WHEN 0 THEN 'und' WHEN en THEN 'en' WHEN de THEN 'de' WHEN fr THEN 'fr' ELSE 'es' END AS lang FROM c")
 def language_detected(spark, d):
     return docs(spark, d).select("doc_id", T.detected_language(F.coalesce("text", F.lit(""))).alias("lang"))
 
