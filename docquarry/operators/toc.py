@@ -29,6 +29,12 @@ def similarity(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
 
 
+def alike(a: str, b: str, cutoff: float) -> bool:
+    """Whether the similarity is at or over the cutoff; bounds from the lengths and the letters alone decide most cases."""
+    m = difflib.SequenceMatcher(None, a, b, autojunk=False)
+    return m.real_quick_ratio() >= cutoff and m.quick_ratio() >= cutoff and m.ratio() >= cutoff
+
+
 def title_levels(toc: DataFrame) -> DataFrame:
     """(title_key, level): the least level of each title."""
     return toc.groupBy(title_key(F.col("title")).alias("title_key")).agg(F.min("level").alias("level"))
@@ -70,11 +76,12 @@ def aligned(lines: list[str], toc: list[tuple[int, str]], cutoff: float = 0.92)
     An entry that never comes blocks those after it.
     """
     out, at, code = [], 0, fenced(lines)
+    wanted = [key_of(title) for _, title in toc]
     for line, inside in zip(lines, code, strict=True):
         if at < len(toc) and not inside and line.strip():
             level, title = toc[at]
-            key, want = key_of(line.lstrip("#").strip().strip("*")), key_of(title)
-            if key and (key == want or len(key) <= 2 * len(want) + 8 and similarity(key, want) >= cutoff):
+            want, key = wanted[at], key_of(line.lstrip("#").strip().strip("*"))
+            if key and (key == want or len(key) <= 2 * len(want) + 8 and alike(key, want, cutoff)):
                 out.append("#" * max(1, min(6, level)) + " " + title.strip())
                 at += 1
                 continue
