@@ -93,12 +93,15 @@ def test_a_missing_version_is_an_error(spark, tmp_path):
     root = str(tmp_path / "t")
     rows = lambda *r: spark.createDataFrame(list(r), "id string, ord int, v string")
     ingest.merge_batch(spark, root, rows(("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z")), 0)
-    assert {tuple(r) for r in spark.read.parquet(f"{root}/version=0").collect()} == {("a", 1, "y"), ("b", 0, "z")}
+    assert {tuple(r) for r in ingest.current(spark, root, 0).collect()} == {("a", 1, "y"), ("b", 0, "z")}
     with pytest.raises(FileNotFoundError):
         ingest.merge_batch(spark, root, rows(("c", 0, "w")), 2)
     for _ in range(2):
         ingest.merge_batch(spark, root, rows(("b", 5, "new")), 1)
-    assert {tuple(r) for r in spark.read.parquet(f"{root}/version=1").collect()} == {("a", 1, "y"), ("b", 5, "new")}
+    assert {tuple(r) for r in ingest.current(spark, root).collect()} == {("a", 1, "y"), ("b", 5, "new")}
+    assert ingest.manifest(spark, root, 1) != ingest.manifest(spark, root, 0) and 0 in ingest.manifest(spark, root, 1).values()  # what was not touched stays
+    ingest.merge_batch(spark, root, rows(), 2)
+    assert ingest.current(spark, root).count() == 2 and ingest.versions(spark, root) == [0, 1, 2]
 
 
 def test_provenance_and_vectors_are_persisted(spark, tmp_path):
