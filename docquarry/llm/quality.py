@@ -229,7 +229,9 @@ def learn_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> lis
     marked = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("int").alias("__quality"))
     marked = marked.orderBy(F.xxhash64("__id"), "__id", "__quality").limit(sample)
     joined = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(F.broadcast(marked), "__id")  # at most ``sample`` rows of two numbers
-    rows = with_statistics(joined, "__id", "__quality").where(~base_failed()).select("__id", "__quality", *(c.alias(k) for k, c in features(F.col).items())).limit(4 * sample).collect()
+    rows = with_statistics(joined, "__id", "__quality").where(~base_failed()).select("__id", "__quality", *(c.alias(k) for k, c in features(F.col).items()))
+    # rows of repeated doc_ids are as many as they are, so the sample's bound is set once more, by a hash of the row
+    rows = rows.orderBy(F.xxhash64(*rows.columns), *rows.columns).limit(4 * sample).collect()
     rows.sort(key=lambda r: tuple(r))
     spread = np.random.default_rng(7).permutation(len(rows))
     rows = [rows[i] for i in spread]
