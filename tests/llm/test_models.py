@@ -207,3 +207,52 @@ def test_toxicity_held_out(spark):
     none = toxicity.score(d, lab.limit(0)).collect()
     assert len(none) == 906 and not any(r.predicted for r in none)
     assert toxicity.score(d.limit(0), lab).count() == 0
+
+
+def brute_hits(text, lexicon):
+    """Hits word by word and term by term, with plain edit distances."""
+    words, out = text.lower().split(), []
+    for i, w in enumerate(words):
+        best = 0.0
+        for v in {w.strip(toxicity.EDGES), *toxicity.LETTERS.findall(w)} if not w.strip(toxicity.EDGES).isalpha() else {w.strip(toxicity.EDGES)}:
+            found = []
+            for n, (t, whole, exact, near) in enumerate(lexicon.terms):
+                k = distance(v, t) if whole else min(distance(v[:j], t) for j in range(len(v) + 1))
+                if k <= toxicity.edits(t):
+                    found.append((k, -len(t), n, near if k else exact))
+            best = max(best, min(found)[3] if found else 0.0)
+        if best:
+            out.append((best, toxicity.Scorer.is_quoted(words, i)))
+    return out
+
+
+def test_scores_against_brute_force():
+    rng = random.Random(12)
+    lexicon = toxicity.Lexicon([("abcde", True, 0.9, 0.5), ("bacdeabc", True, 0.95, 0.7), ("eabcd", False, 0.8, 0.6), ("ab", True, 0.75, 0.1)], 0.02, 0.3)
+    scorer = toxicity.Scorer(lexicon)
+    for _ in range(300):
+        text = " ".join(rng.choice(["", '"', "("]) + "".join(rng.choice("abcde") for _ in range(rng.randrange(1, 10))) + rng.choice(["", '"', ")", "!", "-cab"]) for _ in range(rng.randrange(0, 25)))
+        hits = brute_hits(text, lexicon)
+        assert scorer.hits(text) == hits
+        clear = 1 - lexicon.base
+        for chance, quoted in hits:
+            clear *= 1 if quoted else 1 - chance
+        if any(q for _, q in hits):
+            clear *= 1 - lexicon.quoted
+        assert scorer.score(text) == pytest.approx(1 - clear)
+
+
+def test_terms_are_those_that_toxic_documents_share():
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("aeioustrn") for _ in range(rng.randrange(5, 9)))
+    docs = []
+    for i in range(600):
+        own = {word() for _ in range(30)}
+        if i % 5 == 0:
+            own |= {rng.choice(["zounder", "blirkist", "xq"])}
+        docs.append((own, int(i % 5 == 0)))
+    terms, _ = toxicity.learn_terms(toxicity.distinct_documents(docs), 1.0)
+    spelled = {t for t, *_ in terms}
+    for term in ("zounder", "blirkist", "xq"):  # each is covered by a beginning of its own that no clean document has
+        assert any(term.startswith(t) for t in spelled)
+    assert all(not any(w.startswith(t) if len(t) >= 4 else w == t for own, y in docs if not y for w in own) for t in spelled)

@@ -1,5 +1,8 @@
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from docquarry.llm import near_copies, pii, quality, simhash
+from docquarry.llm import mixing, near_copies, pii, quality, simhash
 from docquarry.llm.common import table
 from docquarry.llm.queries import oracle_sql, queries
 
@@ -54,3 +57,21 @@ def test_rows_that_are_hard(spark):
 def test_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_the_last_stages_are_their_operators_on_all_rows(spark):
+    docs = table(spark, SF, "documents").limit(150)
+    extra = spark.createDataFrame([(None, "no name", None, None, 7), (3, None, "en", "src0", None)], docs.schema)
+    docs = docs.unionByName(extra)
+    *_, four, five = (f for _, f in corpus_pipeline.STAGES)
+    key = lambda rows: sorted(map(str, rows))
+    mixed = four(spark, docs, SF)
+    assert key(mixed.collect()) == key(mixing.mix(docs).drop("copy_number").collect())
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = sorted(len(library.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in docs.collect())
+    packed = five(spark, docs, SF).collect()
+    assert sum(want) == sum(r.length for r in packed)
+    ends = {}
+    for r in packed:
+        ends.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in own) <= 1024 and sorted(own) == [(sum(n for _, n in sorted(own)[:i]), n) for i, (_, n) in enumerate(sorted(own))] for own in ends.values())
