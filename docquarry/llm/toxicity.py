@@ -49,7 +49,7 @@ MOST_TERMS = 400
 SHORTEST, STEM, MOST_LETTERS = 2, 4, 14  # of a term, of one that may be a stem
 THRESHOLD = 0.7
 WINDOW = 4  # words before a hit that may report it
-MOST_CACHED = 500_000
+MOST_CACHED = 100_000  # words as written that a worker keeps
 MOST_EDITS = 2
 MOST_STATES = 100_000
 LETTERS = re.compile(r"[^\W\d_]+")
