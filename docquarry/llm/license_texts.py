@@ -87,6 +87,16 @@ DIGESTS: dict[str, str] = {
     "8aeaf5e8e3488d7c9d65e8416c911f7fe37b3bd88429feabc64ec6283117b8eb": "GFDL-1.2",
     "fb286966d28cff8aa94a7303127495846303801d66ef183d841d5971038d2aa0": "GFDL-1.3",
     "3b7c00b08d5c6de2349faf7a31bb6e49ff8a2273a7cfdd16f96859720b00d9ef": "GPL-1.0",
+    # the terms alone, without what tells how to apply them, with and without their last line
+    "c7fe888d9d23c4c07cd61e6a47cf05b340259a86e492515346bf2721d7407456": "Apache-2.0",
+    "28663a8ea03d79b53dae4204cf7af49d0f9f80dacb8d2ba3423ba3fb814e6d98": "Apache-2.0",
+    "3c9f4977ae65ec51dce2737640196c8c2d45aa4ba394ba71168fae3b8a4cc93f": "GPL-2.0",
+    "46f90fb5923e11bc5b072f6872fe391adbc25dd2046a33fe66ac15c717f3517f": "GPL-2.0",
+    "5d527914d4539f34149cd198edb1e5de52322047d37781b3bd66403f12dc40e1": "GPL-3.0",
+    "364b9ec532739b053b76aadd8eff2901d097a9b32b2c3b38b47f954a5b5e96b2": "GPL-3.0",
+    "a7bd7bcc6f59de5c915482fc3cacdd5a1b6b27c24354df724c2ef3672dce9475": "LGPL-2.1",
+    "d203bc167b87a561b06e0875df37e31508f1030f0b6c56bbfabc2f16acce8c65": "LGPL-2.1",
+    "4c8deaf1fcf78762f3079aeb73e19e1b5ebdf1e0efedb3807b47eb8897d0819b": "EPL-2.0",
 }
 
 #: (licence id, one-line notice)

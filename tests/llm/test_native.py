@@ -129,3 +129,17 @@ def test_spellings_side_by_side(spark):
     import hashlib
 
     assert dict((r[0], r[1]) for r in con.execute(f"SELECT doc_id, canonical_sha256 FROM ({licenses.oracle()})").fetchall()) == {i: hashlib.sha256(w.encode()).hexdigest() for i, w in enumerate(want)}
+
+
+def test_known_digests_are_those_of_their_texts():
+    import hashlib
+    import os
+
+    sha = lambda t: hashlib.sha256(licenses.canonical_py(t).encode()).hexdigest()
+    known, folder = licenses.known_digests(), "/usr/share/common-licenses"
+    for name, license_id in (("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1")):
+        if os.path.exists(f"{folder}/{name}"):
+            with open(f"{folder}/{name}", encoding="utf-8") as f:
+                text = f.read()
+            terms = text[: text.index("END OF TERMS AND CONDITIONS")]
+            assert {known[sha(t)] for t in (text, terms, terms + "END OF TERMS AND CONDITIONS", terms.upper())} == {license_id}
