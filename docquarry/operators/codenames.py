@@ -7,13 +7,18 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The classes of prefixed names.
+# What names look like, and the classes of prefixed ones.
+PATTERNS = (
+    r"(?:Constants\.)?(?:FV|FP|FA|FO|FS|FF|FE|FTI|FT)_[A-Za-z0-9_]+",
+    r"\bF_Api[A-Za-z]+\b",
+    r"\bF_[A-Z][a-zA-Z]+T\b",
+    r"FCodes\.[A-Za-z0-9_]+",
+)
+CAMEL = r"\b[A-Z][a-z0-9]+(?:[A-Z][a-z0-9]*){1,}\b"
 CLASSES = {"FV_": "value", "FP_": "property", "FA_": "action", "FO_": "object", "FS_": "setting", "FF_": "flag", "FE_": "error", "FTI_": "text_item", "FT_": "type"}
+
+PREFIXED = "|".join(PATTERNS)
 _PREFIX = "|".join(p.rstrip("_") for p in CLASSES)
-#: A class constant with or without its accessor, an API call, a structure, a key code.
-PREFIXED = rf"(?:\bConstants\.)?\b(?:{_PREFIX})_\w+|\bF_Api[A-Za-z]+\b|\bF_[A-Z][A-Za-z]+T\b|\bFCodes\.\w+"
-#: A capitalised segment with at least one more segment after it.
-CAMEL = r"\b(?:[A-Z][a-z0-9]+)(?:[A-Z][a-z0-9]*)+\b"
 MOST_TERMS = 5_000
 
 

@@ -151,10 +151,16 @@ def flat_provenance(spark, d):
     return VT.flat_provenance(nested)
 
 
-@query("three_way_join_preview", """SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey ORDER BY o_orderkey LIMIT 3""")
+@query("three_way_join_preview", """WITH c AS (SELECT 'c' || doc_id AS id, 'prov_' || (doc_id % 3) AS prov_id FROM documents), p AS (SELECT DISTINCT 'prov_' || (doc_id % 2) AS prov_id FROM documents), v AS (SELECT 'c' || vec_id AS id, embedding FROM embeddings)
+SELECT id, prov_id, array_to_string(list_transform(embedding[1:5], lambda x: CAST(CAST(round(x::DOUBLE * 1000) AS BIGINT) AS VARCHAR)), ' ') AS head FROM c JOIN p USING (prov_id) JOIN v USING (id) ORDER BY id LIMIT 3""")
 def three_way_join_preview(spark, d):
-    joined = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.select("o_orderkey", "c_name", "n_name").orderBy("o_orderkey").limit(3)
+    """The first chunks with their provenance and the start of their vectors; a chunk whose provenance is not there has no row."""
+    rows = table(spark, d, "documents")
+    prov = lambda n: F.concat(F.lit("prov_"), (F.col("doc_id") % n).cast("string")).alias("prov_id")
+    chunks = rows.select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("id"), prov(3))
+    vectors = table(spark, d, "embeddings").select(F.concat(F.lit("c"), F.col("vec_id").cast("string")).alias("id"), "embedding")
+    made = VT.three_way_preview(chunks, rows.select(prov(2)).distinct(), vectors)
+    return made.select("id", "prov_id", F.array_join(F.transform("head", lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string")), " ").alias("head"))
 
 
 @query("examples_attached", """WITH kids AS (SELECT l_orderkey, string_agg(l_orderkey || '-' || l_linenumber, ',' ORDER BY l_linenumber) AS examples FROM lineitem GROUP BY 1)
