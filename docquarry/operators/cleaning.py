@@ -270,6 +270,10 @@ RUST = re.compile(r"\bfn \w+\s*[(<]|\blet mut \b|\bimpl\b.*\{|println!\(")
 PYTHON = re.compile(r"^\s*(?:def \w+\(|import \w|from \w+ import |class \w+.*:\s*$)", re.M)
 SCRIPT = re.compile(r"\bfunction\s*\w*\(|=>\s*\{|\bconst \w+ =|\bvar \w+ =|console\.log\(")
 MARKUP = re.compile(r"^\s*<(?:\?xml|!DOCTYPE|[A-Za-z][\w:-]*[\s>/])")
+STATEMENTS = re.compile(r"^\s*<(?:MIFFile|Para|TextFlow|Pgf\w*|Units|Document)\b[^=/]*(?:>|$)", re.M)
+SHEET = re.compile(r"^[^{};=()]*\{\s*(?:[\w-]+\s*:[^;{}]+;?\s*)+\}", re.M)
+NATIVE = (("cpp", re.compile(r"^\s*#include\s*[<\"]|\busing namespace\b", re.M)), ("java", re.compile(r"\bpublic static void main\b|\bSystem\.out\.print")), ("csharp", re.compile(r"\bConsole\.Write|^\s*using System\b", re.M)))
+BRACED = ("javascript", "typescript", "css", "c", "cpp", "java", "csharp")
 ALIASES = {"js": "javascript", "ts": "typescript", "py": "python", "sh": "bash", "shell": "bash", "console": "bash", "yml": "yaml", "rs": "rust", "c++": "cpp", "htm": "html"}
 
 
@@ -279,7 +283,9 @@ def guess_language(code: str, tag: str = "") -> str:
     if tag and tag not in ("text", "plaintext", "code"):
         return tag
     body = code.strip()
-    for name, sign in (("json", JSON_START), ("xml", MARKUP), ("rust", RUST), ("python", PYTHON), ("javascript", SCRIPT), ("bash", SHELL)):
+    if re.match(r'"[^"\n]+"\s*:', body):
+        return "json"  # members without their braces
+    for name, sign in (("json", JSON_START), ("mif", STATEMENTS), ("xml", MARKUP), ("rust", RUST), *NATIVE, ("python", PYTHON), ("javascript", SCRIPT), ("css", SHEET), ("bash", SHELL)):
         if sign.search(body):
             return "html" if name == "xml" and re.match(r"^\s*<(?:!DOCTYPE html|html\b|div\b|p\b)", body, re.I) else name
     return tag
@@ -463,15 +469,77 @@ def drop_thin_sections(lines: Lines, least_words: int = 5) -> Lines:
     return out
 
 
+QUOTED = re.compile(r"\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'|//[^\n]*|/\*.*?\*/", re.S)
+
+
+def reindented(code: str) -> str:
+    """Lines of brace code at two spaces for each open brace; as they are where braces don't match or a text may run over lines."""
+    bare = QUOTED.sub(lambda m: "\n" * m[0].count("\n"), code)
+    if "`" in code or any("\n" in m[0] for m in QUOTED.finditer(code)):
+        return code
+    out, depth = [], 0
+    for line, plain in zip(code.split("\n"), bare.split("\n"), strict=True):
+        first = len(re.match(r"[\s}]*", plain)[0].replace(" ", "").replace("\t", ""))
+        out.append(("  " * max(0, depth - first) + line.strip()).rstrip())
+        depth += plain.count("{") - plain.count("}")
+        if depth < 0:
+            return code
+    return "\n".join(out) if depth == 0 else code
+
+
+def nested_statements(code: str) -> str:
+    """One angle statement a line, two spaces for each that is open; a statement that holds no other stays on its line."""
+    out: Lines = []
+    depth, here = 0, ""
+    for part in re.findall(r"`[^']*'|#[^\n]*|[<>]|[^<>`#]+|`", code):
+        if part == "<":
+            if here.strip():
+                out.append("  " * depth + " ".join(here.split()))
+                depth += here.lstrip().startswith("<")
+            here = "<"
+        elif part == ">":
+            if here.strip():
+                out.append("  " * depth + " ".join(here.split()) + ">")
+            else:
+                depth = max(0, depth - 1)
+                out.append("  " * depth + ">")
+            here = ""
+        elif part[0] == "#":
+            if here.strip():
+                out.append("  " * depth + " ".join(here.split()))
+                depth += here.lstrip().startswith("<")
+                here = ""
+            if out and out[-1].strip() == ">":
+                out[-1] += " " + part.strip()
+            else:
+                out.append("  " * depth + part.strip())
+        elif part[0] == "`":
+            here += part
+        else:
+            here += part if here else part.lstrip()
+    if here.strip():
+        out.append("  " * depth + " ".join(here.split()))
+    return "\n".join(out)
+
+
 def format_code(code: str, language: str) -> str:
-    """Pretty-printed JSON, XML-like and brace languages; other code as it is."""
+    """Pretty-printed JSON (whole, or members without their braces), XML-like, angle-statement and brace languages; other code as it is."""
     import json
 
     if language == "json":
         try:
             return json.dumps(json.loads(code), indent=2, ensure_ascii=False)
+        except ValueError:
+            pass
+        try:
+            members = json.dumps(json.loads("{" + code.strip().rstrip(",") + "}"), indent=2, ensure_ascii=False)
+            return "\n".join(x[2:] for x in members.split("\n")[1:-1]) + ("," if code.rstrip().endswith(",") else "")
         except ValueError:
             return code
+    if language == "mif":
+        return nested_statements(code)
+    if language in BRACED and "\n" in code.strip():
+        return reindented(code)
     if language in ("xml", "html"):
         parts, depth, out = re.findall(r"<[^>]+>|[^<]+", code), 0, []
         for p in filter(None, map(str.strip, parts)):
@@ -479,7 +547,7 @@ def format_code(code: str, language: str) -> str:
             out.append("  " * max(0, depth) + p)
             depth += bool(re.match(r"<[A-Za-z]", p)) and not p.endswith("/>") and not re.match(r"<(?:br|img|hr|input|meta|link)\b", p, re.I)
         return "\n".join(out)
-    if language in ("javascript", "typescript", "css", "c", "cpp", "java") and "\n" not in code.strip():
+    if language in BRACED:
         out, depth = [], 0
         for p in filter(None, map(str.strip, re.split(r"(?<=[{};])|(?=\})", code))):
             depth -= p.startswith("}")

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from docquarry.operators import cleaning as C
@@ -122,3 +123,15 @@ def test_front_matter_is_no_content(spark):
 
     rows = headings.chunks(spark.createDataFrame([(1, "a.md", "---\n# not a heading: x\ntitle: t\n---\n# A\nbody")], "doc_id long, filename string, text string")).collect()
     assert [(r.heading, r.content) for r in rows] == [("A", "body")]
+
+
+@pytest.mark.parametrize(("code", "language", "want"), [
+    ('"a": 1, "b": {"c": [1]},', "json", '"a": 1,\n"b": {\n  "c": [\n    1\n  ]\n},'),
+    ("a {\n    color: red;\n}\nb {\ncolor: '}';\n}", "css", "a {\n  color: red;\n}\nb {\n  color: '}';\n}"),
+    ("int f() {\nif (x) {\nreturn 1; // }\n} else {\nreturn 2;\n}\n}", "cpp", "int f() {\n  if (x) {\n    return 1; // }\n  } else {\n    return 2;\n  }\n}"),
+    ("int f() {\n  broken", "cpp", "int f() {\n  broken"), ("let a = `{\n  x`;", "javascript", "let a = `{\n  x`;"),
+    ("<MIFFile 7.00> # v\n<Para <PgfTag `a > b'> <ParaLine <String `x'> > # end\n>", "mif", "<MIFFile 7.00>\n# v\n<Para\n  <PgfTag `a > b'>\n  <ParaLine\n    <String `x'>\n  > # end\n>"),
+])
+def test_code_is_formatted(code, language, want):
+    assert C.guess_language(code) in (language, "") and C.guess_language(code, language) == language
+    assert C.format_code(code, language) == want and C.format_code(want, language) == want
