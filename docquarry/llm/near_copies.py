@@ -133,24 +133,32 @@ def likely(blocks: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
 
 
 def grouped(keys: DataFrame) -> DataFrame:
-    """The rows of ``keys`` (id, k, name) whose group has two names at least, with its size n."""
+    """The rows of ``keys`` (id, k, name) whose group has two names at least, with its size n.
+
+    Here and below, what is known of a group is written before it is joined back:
+    then both sides are dealt for the join alone, and the engine can split a
+    group that very many texts share.
+    """
     groups = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("name").alias("x"), F.max("name").alias("y")).where("x <> y")
-    return scratch.materialize(keys.join(groups.select("k", "n"), "k"), "near-groups")
+    return scratch.materialize(keys.join(scratch.materialize(groups.select("k", "n"), "near-sizes"), "k"), "near-groups")
 
 
 def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Verified edges (a, b) between the ids of ``nodes`` (id, doc_id, hash, minima), whose texts are those of ``docs`` (doc_id, hash, text)."""
     bands = F.array(*(F.xxhash64(F.lit(b), F.slice("minima", b * ROWS + 1, ROWS)) for b in range(BANDS)))
     # name: the node itself, or the last hub of the group that it was linked to
-    now = grouped(nodes.select("id", F.explode(bands).alias("k"), F.col("id").alias("name")))
+    keys = nodes.select("id", F.explode(bands).alias("k"))
+    sizes = scratch.materialize(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "near-sizes")
+    now = scratch.materialize(keys.join(sizes, "k").withColumn("name", F.col("id")), "near-groups")
     blocks, large = now.where(F.col("n") <= BLOCK), now.where(F.col("n") > BLOCK)
-    asked = now.select("id").distinct().join(nodes, "id").select("id", "doc_id", "hash")
-    texts = scratch.materialize(docs.join(asked, ["doc_id", "hash"]).groupBy("id").agg(F.first("text").alias("text")), "near-texts")
+    # of the nodes that share a band at all, once: what follows is of their size
+    nodes = scratch.materialize(now.select("id").distinct().join(nodes, "id").select("id", "doc_id", "hash", "minima"), "near-nodes")
+    texts = scratch.materialize(docs.join(nodes.select("id", "doc_id", "hash"), ["doc_id", "hash"]).groupBy("id").agg(F.first("text").alias("text")), "near-texts")
     tried = None
     while not large.isEmpty():
         known = large.groupBy("id").agg(F.sum("n").alias("known"))
         hubs = large.join(known, "id").groupBy("k").agg(F.max(F.struct("known", (-F.col("id")).alias("least"), "name")).alias("m")).select("k", (-F.col("m.least")).alias("hub"), F.col("m.name").alias("hub_name"))
-        others = scratch.materialize(large.join(hubs, "k").where("id <> hub"), "near-others")
+        others = scratch.materialize(large.join(scratch.materialize(hubs, "near-hubs"), "k").where("id <> hub"), "near-others")
         pairs = others.where("name <> hub_name").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         found = scratch.materialize(verified(pairs, texts), "near-tried")
@@ -160,7 +168,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         named = F.when(F.col("ga").isNotNull(), F.col("hub_name")).otherwise(F.col("name")).alias("name")
         linked = scratch.materialize(linked.select("id", "k", "n", "hub_name", named), "near-linked")
         unlike = linked.groupBy("k").agg(F.count_if(F.col("name") != F.col("hub_name")).alias("unlike")).where("unlike > 0")
-        linked = linked.join(unlike, "k")
+        linked = linked.join(scratch.materialize(unlike, "near-unlike"), "k")
         # few that are not linked: each meets all the others, who are dealt over slices
         slices = F.ceil((F.col("n") - F.col("unlike")) / F.lit(BLOCK - FEW))
         dealt = F.when(F.col("name") == F.col("hub_name"), F.array(F.pmod(F.xxhash64("id"), slices))).otherwise(F.sequence(F.lit(0).cast("long"), slices - 1))
