@@ -16,6 +16,11 @@ centre are linked. So those go to their 65 centres and are linked to the
 least one there: no group is larger than 65 and no link is lost. For wider
 thresholds a crowd is dealt on by further blocks (see ``crowded``).
 
+Sizes of groups, names of components and the like are written before they are
+joined back to rows, so both sides of such a join are dealt for it alone: then a
+fingerprint or component that a third of all rows share is split over tasks by
+the engine's adaptive skew join.
+
 Cases: a null or empty text and one without words have fingerprint zero and are
 linked like any other; a text of fewer words than a shingle is one shingle;
 repeated rows are rows of their own with one component; null doc_ids are passed
@@ -211,7 +216,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, tau: int = 2) -> DataFrame:
     roots = components.stars(near_pairs(nodes.select("fp"), tau))
     linked = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     linked = scratch.materialize(linked, "roots")
-    names = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    names = scratch.materialize(linked.groupBy("root").agg(F.min("rep").alias("component_id")), "names")
     named = linked.join(names, "root").select("fp", "component_id")
     out = prints.join(named, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

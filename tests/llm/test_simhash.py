@@ -225,3 +225,20 @@ def test_rows_of_one_doc_id_with_unlike_texts_stay(spark):
     got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
     kept_c = [t for d, t in got if d == 3]
     assert [x for x in got if x[0] != 3] == [(0, a), (1, b), (None, c), (None, c)] and len(kept_c) == 1 and kept_c[0].lower() == c
+
+
+def test_a_fingerprint_that_a_third_of_rows_share_is_split(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "16"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        common, rest = F.lit("the same text in very many rows"), F.concat(F.lit("words of row number "), F.col("id"), F.lit(" and others "), F.col("id") * 7919)
+        rows = spark.range(0, 30_000, 1, 8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, common).otherwise(rest).alias("text"))
+        out = simhash.near_duplicates(rows)
+        assert out.where("doc_id % 3 = 0").select("component_id").distinct().collect() == [(0,)] and out.count() == 30_000
+        out.collect()
+        assert "SortMergeJoin(skew=true) [fp" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
