@@ -3,9 +3,9 @@
 Base identifiers are found by linear scanners equal to the published patterns.
 Beyond them, a chain of offset-preserving transducers rewrites a text: homoglyphs
 and wide forms to their plain letter, invisible characters to nothing, spelled
-digits to digits, and disguises of "at" and "dot" to the sign. Each is a regular
-language with an output for its readings, compiled to the matcher's automaton;
-each output character keeps the source span that it was made from. A spelled
+digits to digits, and disguises of "at" and "dot" to the sign. Each is a deterministic machine over the symbols of
+tokens, compiled to a table of transitions with an output for each state; each
+output character keeps the source span that it was made from. A spelled
 "at" needs more than a dot after it: a host with a known end, and before a plain
 host a name that looks like an address; so whether a span is found hangs on its
 own words alone. The same scanners then run on the
@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -115,32 +116,153 @@ _NUMBERS = {
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
 SPELLED = {w: d for ws, d in _NUMBERS.items() for w in ws.split()}
-_WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
-#: Two or more spelled digits in a row, or one beside a figure; a lone number word is prose.
-NUMBER_RUN = re.compile(rf"(?<![^\W_])(?:{_WORD})(?:[ -](?:{_WORD}|[0-9]+))+(?![^\W_])|(?<=[0-9][ -])(?:{_WORD})(?![^\W_])", re.I)
-NUMBER_WORD = re.compile(rf"(?<![^\W_])(?:{_WORD})(?![^\W_])", re.I)
-PLUS = re.compile(r"(?<![^\W_])(?<![0-9] )plus ?(?=[0-9])", re.I)
-_AT, _DOT = r"(?:at|arroba|klammeraffe)", r"(?:dot|punkt|point|punto)"
+_AT, _DOT = ("at", "arroba", "klammeraffe"), ("dot", "punkt", "point", "punto")
 #: Ends of hosts that a spelled address may have; those that are words of prose (in, it, is, me, at, so, to, no, be, as) are left out.
-_ENDS = "(?:com|org|net|edu|gov|mil|info|biz|io|co|uk|de|fr|es|eu|ch|nl|pl|pt|br|mx|ar|jp|cn|ru|se|dk|fi|cz|ie|ca|au|nz|dev|app|example|test|invalid)"
+_ENDS = "com org net edu gov mil info biz io co uk de fr es eu ch nl pl pt br mx ar jp cn ru se dk fi cz ie ca au nz dev app example test invalid".split()
 #: Words that no spoken host starts with.
-_PROSE = r"(?:the|this|that|these|those|a|an|some|any|every|each|which|what|one|no|my|our|your|his|her|its|their|first|last|least|most|all|home)"
-_LABEL = "[A-Za-z0-9-]{1,63}"
-BRACKETED = re.compile(rf"\s{{0,3}}(?:\[\s?(?:({_AT}|@)|({_DOT}|\.))\s?\]|\(\s?(?:({_AT}|@)|({_DOT}|\.))\s?\)|\{{\s?(?:({_AT}|@)|({_DOT}|\.))\s?\}}|<\s?(?:({_AT}|@)|({_DOT}|\.))\s?>)\s{{0,3}}", re.I)
-#: "name at host dot com" in words alone: a spelled dot before a known end must follow.
-AT_SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])(\s{_AT}\s)(?!{_PROSE}\s)(?={_LABEL}(?:(?:\s{_DOT}\s|\.){_LABEL}){{0,3}}?\s{_DOT}\s{_ENDS}(?![A-Za-z0-9-]))", re.I)
-#: "first.last at host.com": a plain host is the end of much prose ("look at example.com"), so what stands before must look like an address.
-AT_PLAIN = re.compile(rf"(?<=[A-Za-z0-9])(\s{_AT}\s)(?=(?:{_LABEL}\.){{1,4}}{_ENDS}(?![A-Za-z0-9-]))", re.I)
-NAME_LIKE = re.compile(rf"(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9]{{1,64}}(?:(?:[._%+-]|\s(?:dot|punkt|punto)\s)[A-Za-z0-9]{{1,64}}){{1,5}}|[A-Za-z]{{2,64}}[0-9]{{1,9}})\Z", re.I)
-DOT_IN_LOCAL = re.compile(rf"(?<=[A-Za-z0-9])\s{_DOT}\s(?=[A-Za-z0-9._%+-]{{1,64}}@)", re.I)
-DOT_IN_DIGITS = re.compile(rf"(?<=[0-9])\s{_DOT}\s(?=[0-9])", re.I)
-DOT_WORD = re.compile(rf"(?<=[A-Za-z0-9])\s{_DOT}\s(?=[A-Za-z0-9])", re.I)
+_PROSE = "the this that these those a an some any every each which what one no my our your his her its their first last least most all home".split()
+BRACKETS = {"(": ")", "[": "]", "{": "}", "<": ">"}
+TOKEN = re.compile(r"[^\W\d_]+|\d+|\s|.", re.S)
+
+# Symbols of tokens: T at, D dot, N number word, L plus, E end of a host, P prose, W other ASCII letters, F figures, S space, s other white space, G signs of names, U other letters and figures, X anything else; . - @ and brackets are themselves.
+KINDS_OF_WORDS = {**dict.fromkeys(_PROSE, "P"), **dict.fromkeys(_ENDS, "E"), **dict.fromkeys(SPELLED, "N"), **dict.fromkeys(_AT, "T"), **dict.fromkeys(_DOT, "D"), "plus": "L"}
+LETTERED = "TDNLEPW"
+
+
+@lru_cache(1 << 16)
+def symbol(token: str) -> str:
+    if token.isalpha():
+        return KINDS_OF_WORDS.get(token.lower()) or ("W" if token.isascii() else "U")
+    if token.isdigit():
+        return "F" if token.isascii() else "U"
+    if token.isspace():
+        return "S" if token == " " else "s"
+    return token if token in ".-@()[]{}<>" else "G" if token in "_%+" else "X"
+
+
+def tokens(text: str) -> tuple[list[Span], str]:
+    """The spans of a text's tokens, and their symbols."""
+    marks = [m.span() for m in TOKEN.finditer(text)]
+    return marks, "".join([symbol(text[a:b]) for a, b in marks])
+
+
+Table = dict[str, dict[str, str]]
+
+
+def arcs(table: Table, state: str, symbols: str, to: str) -> None:
+    table.setdefault(state, {}).update(dict.fromkeys(symbols, to))
+
+
+def bracketed_signs() -> tuple[Table, dict[str, str], set[str]]:
+    """(table, outputs, accepting) of "[at]", "( dot )" and the like, with up to three white spaces on both sides."""
+    t: Table = {}
+    out: dict[str, str] = {}
+    for k in range(3):
+        arcs(t, f"before{k}" if k else "start", "Ss", f"before{k + 1}")
+        arcs(t, f"close{k}", "Ss", f"close{k + 1}")
+    for k in range(4):
+        for left, right in BRACKETS.items():
+            arcs(t, f"before{k}" if k else "start", left, left)
+            for sign, symbols in (("@", "T@"), (".", "D.")):
+                arcs(t, left, "Ss", left + " ")
+                for had in (left, left + " "):
+                    arcs(t, had, symbols, left + sign)
+                arcs(t, left + sign, "Ss", left + sign + " ")
+                for had in (left + sign, left + sign + " "):
+                    arcs(t, had, right, "close0")
+                out[left + sign] = sign
+    every = {*t, *(x for d in t.values() for x in d.values())}
+    return t, {x: out.get(x, "") for x in every}, {f"close{k}" for k in range(4)}
+
+
+def spoken_addresses() -> tuple[Table, dict[str, str], set[str]]:
+    """(table, outputs, accepting) of addresses with a spelled at or dots.
+
+    A name is plain (p), like an address (l: joined by signs, or letters with figures
+    at their end) or spelled with dots (d). After a spelled at, a plain name needs a
+    host whose last dot is spelled, any other one with any dot, both with a known
+    end. After a sign, a host needs a spelled dot, unless the name has one.
+    """
+    t: Table = {}
+    out: dict[str, str] = {}
+    word, sign, host = LETTERED + "F", ".-G", "TDNLEWF-"
+    arcs(t, "start", LETTERED, "name p")
+    arcs(t, "start", "F", "figures p")
+    for kind in "pld":
+        like = "d" if kind == "d" else "l"
+        arcs(t, f"name {kind}", "F", f"name {like}")  # figures at the end
+        arcs(t, f"name {kind}", LETTERED, f"name {kind}")
+        arcs(t, f"figures {kind}", word, f"name {kind}")
+        for had in (f"name {kind}", f"figures {kind}"):
+            arcs(t, had, sign, f"sign {kind}")
+            arcs(t, had, "Ss", f"gap {kind}")
+            arcs(t, had, "@", f"host {kind}@0")
+        arcs(t, f"sign {kind}", sign, f"sign {kind}")
+        arcs(t, f"sign {kind}", word, f"name {like}")
+        arcs(t, f"gap {kind}", "T", f"at {kind}")
+        arcs(t, f"gap {kind}", "D", "dot in name")
+        out |= {f"gap {kind}": "", f"at {kind}": "@", f"after at {kind}": ""}
+        arcs(t, f"at {kind}", "Ss", f"after at {kind}")
+        for way in " @":
+            h = f"host {kind}{way}"  # followed by what the host has so far: 0 no label, 1 labels, ! an end that will do
+            first = f"after at {kind}" if way == " " else h + "0"
+            arcs(t, first, host, h + "1")
+            for had in "1!":
+                arcs(t, h + had, host, h + "1")
+                arcs(t, h + had, ".", h + ".")
+                arcs(t, h + had, "Ss", h + "gap")
+            arcs(t, h + ".", host, h + "1")
+            if kind != "p" and way == " ":
+                arcs(t, h + ".", "E", h + "!")
+            if kind == "d" and way == "@":
+                arcs(t, h + ".", host, h + "!")
+                arcs(t, h + "!", host, h + "!")
+            arcs(t, h + "gap", "D", h + "dot")
+            arcs(t, h + "dot", "Ss", h + "next")
+            arcs(t, h + "next", host, h + ("!" if way == "@" else "1"))
+            arcs(t, h + "next", "E", h + "!")
+            if way == "@":
+                arcs(t, h + "!", host, h + "!")
+            out |= {h + "gap": "", h + "dot": ".", h + "next": ""}
+    arcs(t, "dot in name", "Ss", "after dot")
+    arcs(t, "after dot", word, "name d")
+    out |= {"dot in name": ".", "after dot": ""}
+    every = {*t, *(x for d in t.values() for x in d.values())}
+    return t, out, {x for x in every if x.endswith("!")}
+
+
+def spelled_numbers() -> tuple[Table, dict[str, str], set[str]]:
+    """(table, outputs, accepting) of two or more spelled digits in a row, or of one beside a figure; a lone number word is prose. An output "#" is the word's digit."""
+    t: Table = {}
+    for had, sep in (("N", "N "), ("F", "F "), ("N!", "N! "), ("F!", "F! ")):
+        arcs(t, had, "S-", sep)
+        done = "!" if "!" in had else ""
+        arcs(t, sep, "N", "N!")
+        arcs(t, sep, "F", "F!" if done or had[0] == "N" else "F")
+    arcs(t, "start", "N", "N")
+    arcs(t, "start", "F", "F")
+    return t, {"N": "#", "N!": "#"}, {"N!", "F!"}
+
+
+def spelled_dots() -> tuple[Table, dict[str, str], set[str]]:
+    """(table, outputs, accepting) of figures with spelled dots between."""
+    t: Table = {}
+    for had in ("start", "next"):
+        arcs(t, had, "F", "F" if had == "start" else "F!")
+    for had in ("F", "F!"):
+        arcs(t, had, "Ss", "gap")
+    arcs(t, "gap", "D", "dot")
+    arcs(t, "dot", "Ss", "next")
+    return t, {"gap": "", "dot": ".", "next": ""}, {"F!"}
+
+
+def spelled_plus() -> tuple[Table, dict[str, str], set[str]]:
+    """(table, outputs, accepting) of a plus before figures."""
+    t: Table = {"start": {"L": "plus"}, "plus": {"S": "gap", "F": "F!"}, "gap": {"F": "F!"}}
+    return t, {"plus": "+", "gap": ""}, {"F!"}
 
 
-def name_like(text: str, at: int) -> bool:
-    """Whether what ends at ``at`` looks like the first part of an address: letters joined by signs, or with figures at their end."""
-    m = NAME_LIKE.search(text, max(0, at - 400), at)
-    return bool(m) and any(c.isalpha() for c in m[0])
+Edit = tuple[int, int, str]
 
 
 class Tape:
@@ -165,84 +287,116 @@ class Tape:
         self.text = "".join(text)
 
 
-Edit = tuple[int, int, str]
-
-
 @dataclass(frozen=True)
 class Transducer:
-    """A rewriting: where its automaton reads, what it writes for a reading, and how often in a row it is applied."""
-
-    reads: re.Pattern | None
-    edits: Callable[[str], list[Edit]]
-    times: int = 1
-
-
-def writes(pattern: re.Pattern, sign: Callable[[re.Match], str], group: int = 0, when: Callable[[str, int], bool] | None = None, times: int = 1) -> Transducer:
-    """The transducer that writes ``sign`` for a pattern's readings (for one of its groups), where ``when`` holds at its start."""
-
-    def edits(text: str) -> list[Edit]:
-        return [(m.start(group), m.end(group), sign(m)) for m in pattern.finditer(text) if when is None or when(text, m.start(group))]
-
-    return Transducer(pattern, edits, times)
-
-
-def spelled_digits(text: str) -> list[Edit]:
-    """Spelled digits run together; separators between figures stay."""
-    out: list[Edit] = []
-    for run in NUMBER_RUN.finditer(text):
-        for m in NUMBER_WORD.finditer(run[0]):
-            a, b = run.start() + m.start(), run.start() + m.end()
-            if out and out[-1][1] + 1 == a and text[a - 1] == " ":
-                a -= 1
-            out.append((a, b, SPELLED[m[0].lower()]))
-    return out
+    """A deterministic machine over the symbols of tokens: transitions by state, an output for the token read on entering a state (none: the token itself), and the accepting states.
+
+    It starts wherever ``starts`` lets it, reads on to the last place at which it
+    accepts, and goes on behind that. Its edits carry source offsets.
+    """
+
+    table: Table
+    outputs: dict[str, str]
+    accepts: set[str]
+    starts: Callable[[str, int], bool]
+    needs: str  # one of these symbols, or there is nothing to read
+    whole: bool = True  # it ends at a word's end
+
+    def edits(self, text: str, read: tuple[list[Span], str] | None = None) -> list[Edit]:
+        marks, symbols = read or tokens(text)
+        table, first, out, at = self.table, self.table["start"], [], 0
+        if not any(c in symbols for c in self.needs):
+            return out
+        while at < len(symbols):
+            if symbols[at] not in first or not self.starts(symbols, at):
+                at += 1
+                continue
+            state, path, good, turn = "start", [], 0, 0
+            for k in range(at, len(symbols)):
+                state = table.get(state, {}).get(symbols[k])
+                if state is None:
+                    break
+                path.append(state)
+                if state in self.accepts and (not self.whole or self.borders(symbols, k + 1)):
+                    good = len(path)
+                if not turn and state[:3] == "at ":
+                    turn = len(path)  # what follows can be the name of another address
+            else:
+                k += 1
+            if good:
+                out += self.written(text, marks[at : at + good], path[:good])
+                at += good
+            else:
+                at = at + turn if turn else max(at + 1, min(k, at + len(path)))
+        return out
+
+    @staticmethod
+    def borders(symbols: str, end: int) -> bool:
+        """Whether what was read ends there, and not in the middle of a word."""
+        return end >= len(symbols) or not (symbols[end] in LETTERED + "FU" and symbols[end - 1] in LETTERED + "F")
+
+    def written(self, text: str, marks: list[Span], path: list[str]) -> list[Edit]:
+        """The replaced runs of tokens: (start, end, by)."""
+        out: list[Edit] = []
+        for k, ((a, b), state) in enumerate(zip(marks, path, strict=True)):
+            by = self.outputs.get(state)
+            if by == "#":
+                by = SPELLED[text[a:b].lower()]
+            elif by is None and state[0] == "N" and state.endswith(" ") and text[a] == " " and k + 1 < len(path) and path[k + 1][0] == "N":
+                by = ""  # spelled digits run together; separators beside figures stay
+            if by is None:
+                continue
+            if out and out[-1][1] == a and not (by and out[-1][2]):
+                out[-1] = (out[-1][0], b, out[-1][2] + by)
+            else:
+                out.append((a, b, by))
+        return out
+
+
+def free(symbols: str, at: int) -> bool:
+    """Not in the middle of a word."""
+    return at == 0 or symbols[at - 1] not in LETTERED + "FU"
+
+
+def anywhere(symbols: str, at: int) -> bool:
+    return True
+
+
+def first_of_name(symbols: str, at: int) -> bool:
+    return at == 0 or symbols[at - 1] not in LETTERED + "FU.-G"
+
+
+def no_sum(symbols: str, at: int) -> bool:
+    """A plus after a figure adds."""
+    return free(symbols, at) and not (at > 1 and symbols[at - 1] == "S" and symbols[at - 2] == "F")
 
 
 def normalise(text: str) -> Tape | None:
     """The rewritten tape, or None where no transducer has anything to read."""
-    plain = text.isascii() or not MAPPED.search(text)
-    if plain and not (SCREEN.search(text.lower()) and HINT.search(text)):
-        return None
-    tape = Tape(text)
+    tape = None
+    if not text.isascii() and MAPPED.search(text):  # a look-alike counts wherever it stands: spans map back either way
+        tape = Tape(text)
+        tape.rewrite([(m.start(), m.end(), LOOKALIKES.get(m[0], "")) for m in MAPPED.finditer(text)])
+    lowered = (tape.text if tape else text).lower()
+    if not (SCREEN.search(lowered) and HINT.search(lowered)):
+        return tape
+    tape = tape or Tape(text)
+    read = tokens(tape.text)
     for t in CHAIN:
-        for _ in range(t.times):
-            edits = t.edits(tape.text)
-            if not edits:
-                break
+        if edits := t.edits(tape.text, read):
             tape.rewrite(edits)
+            read = tokens(tape.text)
     return tape
 
 
-def dots_after_at(text: str) -> list[tuple[int, int, str]]:
-    """Spelled dots in the domain that follows an @: "host dot co dot uk"."""
-    out, at = [], text.find("@")
-    part = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*")
-    while at >= 0:
-        here = at + 1
-        while m := part.match(text, here):
-            d = DOT_WORD.match(text, m.end())
-            if not d:
-                break
-            out.append((d.start(), d.end(), "."))
-            here = d.end()
-        at = text.find("@", max(at + 1, here))
-    return out
-
-
-#: In this order each reads what the one before has written. A look-alike counts wherever it stands: spans map back either way.
+#: In this order each reads what the one before has written.
 CHAIN = (
-    writes(MAPPED, lambda m: LOOKALIKES.get(m[0], "")),
-    writes(BRACKETED, lambda m: "@" if any(m.group(i) for i in (1, 3, 5, 7)) else "."),
-    writes(AT_SPOKEN, lambda m: "@", 1),
-    writes(AT_PLAIN, lambda m: "@", 1, name_like),
-    Transducer(None, dots_after_at),
-    writes(DOT_IN_LOCAL, lambda m: ".", times=3),
-    writes(DOT_IN_DIGITS, lambda m: "."),
-    Transducer(NUMBER_RUN, spelled_digits),
-    writes(PLUS, lambda m: "+"),
+    Transducer(*bracketed_signs(), anywhere, "([{<", whole=False),
+    Transducer(*spoken_addresses(), first_of_name, "TD"),
+    Transducer(*spelled_dots(), anywhere, "D", whole=False),
+    Transducer(*spelled_numbers(), free, "N"),
+    Transducer(*spelled_plus(), no_sum, "L", whole=False),
 )
-#: Matches in every text in which some transducer has something to read: the union of what they read, and a spelled dot.
-HINT = re.compile("|".join([rf"\s{_DOT}\s", *(t.reads.pattern for t in CHAIN if t.reads is not None and t.reads is not MAPPED)]), re.I)
 
 
 def by_first_letter(words: Iterable[str]) -> str:
@@ -253,8 +407,11 @@ def by_first_letter(words: Iterable[str]) -> str:
     return "(?:" + "|".join(c + by_first_letter(rest) if c else "" for c, rest in sorted(groups.items(), reverse=True)) + ")"
 
 
-#: A quick and wider test on the lowered text: a number word or spelled dot at all, a spelled at before a host, a bracketed sign, a plus.
-SCREEN = re.compile(rf"(?:^|[\W_])(?:{by_first_letter([*SPELLED, 'dot', 'punkt', 'point', 'punto'])}(?![^\W_])|{_AT}\s(?:[a-z0-9-]{{1,63}}\.){{1,4}}[a-z]|plus ?[0-9])|[\[({{<]\s?(?:{_AT}|@|\.)\s?[\])}}>]")
+_N, _A, _D = (by_first_letter(words) for words in (SPELLED, _AT, _DOT))
+_SIGNED = rf"[\[({{<]\s?(?:{_A}|{_D}|@|\.)\s?[\])}}>]"
+#: Two tests on the lowered text, a quick one and a close one; each matches every text in which some transducer accepts.
+SCREEN = re.compile(rf"(?:^|[\W\d_])(?:{by_first_letter([*SPELLED, *_DOT])}(?![^\W_])|{_A}\s[a-z0-9-]+\.[a-z0-9-]|plus ?[0-9])|{_SIGNED}")
+HINT = re.compile(rf"{_SIGNED}|\s{_D}\s|\s{_A}\s[a-z0-9-]+\.[a-z0-9-]|(?<![^\W\d_]){_N}[ -](?:{_N}(?![^\W_])|[0-9])|[0-9][ -]{_N}(?![^\W_])|plus ?[0-9]")
 
 
 def spans_of(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
