@@ -45,6 +45,7 @@ from docquarry.llm.langid import fold
 
 FOLDS, HELD = 3, 1
 TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 6_000  # labelled documents learned from, about
+SAMPLE_FILES = 16  # that the sample is written to, however many partitions the documents have
 MOST_TERMS = 400
 SHORTEST, STEM, MOST_LETTERS = 2, 4, 14  # of a term, of one that may be a stem
 THRESHOLD = 0.7
@@ -278,7 +279,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     least = [ours.where(F.col("__toxic") == y).orderBy(F.xxhash64("__id", F.lit(41)), "__id").limit(n) for y, n in wanted.items()]
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").where(F.col("text").isNotNull())
     rows = texts.join(F.broadcast(least[0].union(least[1])), "__id")  # at most the samples, of two numbers each
-    rows = scratch.materialize(rows.select("text", F.col("__toxic").alias("toxic"), F.xxhash64("__id", "text").alias("place")), "toxic-sample")
+    rows = rows.select("text", F.col("__toxic").alias("toxic"), F.xxhash64("__id", "text").alias("place"))
+    rows = scratch.materialize(rows.repartition(SAMPLE_FILES), "toxic-sample")
 
     def words(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [sorted(set(LETTERS.findall(t.lower()))) for t in batch.column("text").to_pylist()]
