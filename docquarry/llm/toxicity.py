@@ -283,14 +283,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     rows = scratch.materialize(rows.repartition(SAMPLE_FILES), "toxic-sample")
 
     def words(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [sorted(set(LETTERS.findall(t.lower()))) for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), pa.array(found, pa.list_(pa.string()))], ["toxic", "place", "words"])
+        found = [" ".join(sorted(set(LETTERS.findall(t.lower())))) for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), pa.array(found, pa.string())], ["toxic", "place", "words"])
 
-    sets = common.map_batches(rows, words, "toxic int, place long, words array<string>")
+    sets = common.map_batches(rows, words, "toxic int, place long, words string")
     got, last = [], {}
     for y, n in wanted.items():  # rows of repeated doc_ids count towards the sample
         for r in sets.where(F.col("toxic") == y).orderBy("place").limit(n).toLocalIterator():
-            got.append(({sys.intern(w) for w in r["words"]}, y))
+            got.append(({sys.intern(w) for w in r["words"].split()}, y))
             last[y] = r["place"]
     n = Counter(y for _, y in got)
     weight = max(1.0, sizes.get(0, 0) / max(1, n[0]) / (sizes.get(1, 1) / max(1, n[1]))) if n[0] and n[1] else 1.0
