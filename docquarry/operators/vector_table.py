@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from docquarry.functions import vectors as V
 from docquarry.functions.text import short_hash
+from docquarry.operators import nearest
 
 QUERY_BLOCK = 8_000_000  # components of queries that one scan holds, 64 MB
 VECTORS = ("embedding", "embedding_summary_chunk", "embedding_summary_page")
@@ -95,25 +96,21 @@ def three_way_preview(chunks: DataFrame, provenance: DataFrame, vectors: DataFra
 def cosine_top_k(queries: DataFrame, rows: DataFrame, k: int = 10, key: str = "vec_id", column: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, key, similarity): exact search for a stated set of queries, in blocks of about ``block`` components.
 
-    The size of the query set is read first. One block is broadcast; of several,
-    each is a scan of its own, so no broadcast grows with the set. A scan scores
-    its rows against the block's queries and keeps k for each query and salt
-    before anything is shuffled: the window below ranks in two steps.
+    The sizes of both sides are read first. Each block of queries goes to all tasks
+    of a scan of its own, so no broadcast grows with the set; rows are dealt evenly,
+    as a small file would else be one task. A task keeps k rows for each query, and
+    the window ranks those of all tasks.
     """
-    q = queries.select(F.col(key).alias("query_id"), F.col(column).alias("_q")).where(F.col("_q").isNotNull())
-    v = rows.select(F.col(key), F.col(column).alias("_v"))
+    spark = rows.sparkSession
+    q = nearest.numbered(queries.select(F.col(key).alias("query_id"), F.col(column).alias("_q")), "_q").where(F.col("query_id").isNotNull())
+    v = nearest.numbered(rows.select(F.col(key), F.col(column).alias("_v")), "_v").where(F.col(key).isNotNull())
     held = q.agg(F.coalesce(F.sum(F.size("_q")), F.lit(0)).alias("n")).first().n
     blocks = max(1, -(-held // block))
-
-    def scanned(part: DataFrame) -> DataFrame:
-        scored = v.join(F.broadcast(part), F.col(key) != F.col("query_id")).select("query_id", key, V.cosine(F.col("_q"), F.col("_v")).alias("similarity")).where("similarity is not null")
-        salted = scored.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(32)))
-        return salted.withColumn("_r", F.row_number().over(place("query_id", "_salt"))).where(F.col("_r") <= k)
-
-    place = lambda *by: W.partitionBy(*by).orderBy(F.desc("similarity"), F.asc(key))
+    parts = nearest.tasks(spark, held / blocks * v.count())
     dealt = F.pmod(F.xxhash64("query_id", F.lit(5)), F.lit(blocks))
-    local = union_all([scanned(q if blocks == 1 else q.where(dealt == i)) for i in range(blocks)])
-    return local.withColumn("rank", F.row_number().over(place("query_id"))).where(F.col("rank") <= k).select("query_id", "rank", key, "similarity")
+    local = union_all([nearest.scanned(v.repartition(parts), q if blocks == 1 else q.where(dealt == i), k) for i in range(blocks)])
+    place = W.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc(key))
+    return local.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", key, "similarity")
 
 
 def valid_embeddings(rows: DataFrame, dim: int) -> DataFrame:

@@ -138,3 +138,17 @@ def test_trimmed_means_against_brute_force(spark):
             cut = int(len(x) * share)
             want = np.median(x) if share >= 0.5 else x[cut : len(x) - cut].mean() if 2 * cut < len(x) else x.mean()
             assert r.trimmed == pytest.approx(want) and r["mean"] == pytest.approx(x.mean()) and r.percentile == pytest.approx(np.quantile(x, 0.2))
+
+
+def test_exact_search_is_by_matrices_with_ties_and_odd_rows(spark):
+    rng = np.random.default_rng(8)
+    made = [(int(i), [float(x) for x in rng.integers(0, 3, 3)]) for i in range(500)] + [(7, [1.0, 2.0]), (600, [float("nan"), 1.0, 1.0]), (601, [1.0, None, 1.0]), (602, None), (603, [1e-170, 0.0, 0.0])]
+    rows = spark.createDataFrame(made, "vec_id long, embedding array<double>")
+    found = VT.cosine_top_k(rows.where("vec_id % 20 = 0"), rows)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()  # pairs were scored one by one in interpreted lambdas
+    pairs = rows.alias("v").crossJoin(rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))).where("vec_id <> query_id")
+    want: dict = {}
+    for r in pairs.select("query_id", "vec_id", VT.V.cosine(F.col("q"), F.col("embedding")).alias("s")).where("s is not null").collect():
+        want.setdefault(r.query_id, []).append((0 if np.isnan(r.s) else 1, -r.s if not np.isnan(r.s) else 0, r.vec_id))
+    want = {(q, n + 1, v) for q, near in want.items() for n, (_, _, v) in enumerate(sorted(near)[:10])}
+    assert {(r.query_id, r["rank"], r.vec_id) for r in found.collect()} == want
