@@ -5,13 +5,12 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry import scratch
+from docquarry.functions.by_row import by_row
 from docquarry.functions.text import title_key
 from docquarry.operators.cleaning import fenced
 from docquarry.operators.headings import section_array
@@ -89,7 +88,7 @@ def aligned(lines: list[str], toc: list[tuple[int, str]], cutoff: float = 0.92)
     return out
 
 
-ALIGNED = "n_matched int, text string"
+ALIGNED_ROW = "struct<n_matched:int,text:string>"
 
 
 def align(files: DataFrame, toc: DataFrame, cutoff: float = 0.92, key: str = "long") -> DataFrame:
@@ -101,17 +100,13 @@ def align(files: DataFrame, toc: DataFrame, cutoff: float = 0.92, key: str = "lo
     scratch.ship(files.sparkSession)
     entries = toc.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "level", "title"))).alias("toc"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for doc, text, own in zip(f["doc_id"], f["text"], f["toc"], strict=True):
-                lines = (text or "").split("\n")
-                wanted = [(int(e["level"]), e["title"]) for e in own] if own is not None else []
-                made = aligned(lines, wanted, cutoff)
-                out.append((doc, sum(a != b for a, b in zip(lines, made, strict=True)), "\n".join(made)))
-            yield pd.DataFrame(out, columns=["doc_id", "n_matched", "text"])
-
-    return files.select("doc_id", "text").join(entries, "doc_id", "left").mapInPandas(run, f"doc_id {key}, {ALIGNED}")
+    def one(text: str | None, own: list | None) -> tuple[int, str]:
+        lines = (text or "").split("\n")
+        made = aligned(lines, [(int(e["level"]), e["title"]) for e in own or ()], cutoff)
+        return sum(a != b for a, b in zip(lines, made, strict=True)), "\n".join(made)
+
+    met = files.select("doc_id", "text").join(entries, "doc_id", "left")
+    return met.select(F.col("doc_id").cast(key).alias("doc_id"), by_row(one, ALIGNED_ROW, "text", "toc").alias("m")).select("doc_id", "m.n_matched", "m.text")
 
 
 def synthetic(files: DataFrame) -> tuple[DataFrame, DataFrame]:
