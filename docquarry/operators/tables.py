@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry import scratch
+from docquarry.functions.by_row import by_row
 from docquarry.functions.text import chunk_id
 from docquarry.operators import headings
 from docquarry.operators.cleaning import Lines, blocks, cells, guess_language, is_separator
@@ -377,11 +378,7 @@ def unescaped(text: str) -> str:
 
 
 def rewritten(files: DataFrame, change: Callable[[Lines], Lines]) -> DataFrame:
-    """``files`` with a rewriting of lines applied to each text, in Arrow batches; null stays null."""
+    """``files`` with a rewriting of lines applied to each text; null stays null."""
     scratch.ship(files.sparkSession)
 
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None else "\n".join(change(t.split("\n"))))
-
-    return files.withColumn("text", run("text"))
+    return files.withColumn("text", by_row(lambda t: t if t is None else "\n".join(change(t.split("\n"))), "string", "text"))
