@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from docquarry import scratch
+from docquarry.functions.by_row import by_row
 
 
 class Summarizer(Protocol):
@@ -64,13 +65,10 @@ def prompt_of(path: Column, content: Column, template: str = "Summarise this sec
 
 
 def summarise(chunks: DataFrame, backend: str = "stub", least: int = 50) -> DataFrame:
-    """chunk_summary for chunks of enough tokens that have none; the model is called in Arrow batches, on those rows alone."""
+    """chunk_summary for chunks of enough tokens that have none; the model is called on those rows alone."""
     have = F.coalesce(F.col("chunk_summary"), F.lit("")) != ""
 
-    @F.pandas_udf("string")
-    def ask(prompts: pd.Series) -> pd.Series:
-        return prompts.map(lambda p: None if p is None else run_backend(backend, p))
-
+    ask = lambda prompt: by_row(lambda p: None if p is None else run_backend(backend, p), "string", prompt)
     due = ~have & (F.col("token_count") >= least)
     made = chunks.withColumn("_made", ask(F.when(due, prompt_of(F.col("concat_header_path"), F.col("content")))))
     return made.withColumn("chunk_summary", F.when(have, F.col("chunk_summary")).when(due, F.col("_made")).otherwise("")).drop("_made")
@@ -122,12 +120,9 @@ def page_rollup(chunks: DataFrame) -> DataFrame:
 
 
 def asked(rows: DataFrame, prompt: Column, backend: str, into: str) -> DataFrame:
-    """``rows`` with the backend's answer to each prompt that is not null, in Arrow batches."""
-
-    @F.pandas_udf("string")
-    def ask(prompts: pd.Series) -> pd.Series:
-        return prompts.map(lambda p: None if p is None else run_backend(backend, p))
+    """``rows`` with the backend's answer to each prompt that is not null."""
 
+    ask = lambda prompt: by_row(lambda p: None if p is None else run_backend(backend, p), "string", prompt)
     return rows.withColumn(into, ask(prompt))
 
 
