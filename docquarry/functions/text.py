@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docquarry.functions.by_row import by_row
+
 #: White space as Python's str.strip() sees it, for Java patterns.
 SPACE = r"[\s\x0B\x1c-\x1f\x85\xA0  -     　]"
 
@@ -28,14 +29,8 @@ def token_count(text: Column) -> Column:
 
 
 def counted_tokens(text: Column, counter: Callable[[str], int]) -> Column:
-    """Tokens by a counter of one's own, a byte-pair encoder for one; it runs in Arrow batches. Null has none."""
-
-
-    @F.pandas_udf("int")
-    def count(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: 0 if t is None else counter(t)).astype("int32")
-
-    return count(text)
+    """Tokens by a counter of one's own, a byte-pair encoder for one. Null has none."""
+    return by_row(lambda t: 0 if t is None else counter(t), "int", text)
 
 
 #: Short words that tell languages apart; none stands for two of them.

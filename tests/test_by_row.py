@@ -7,7 +7,7 @@ from docquarry.plans import registry
 TEXTS = [None, "", "# A\nb\n1. c\nd\n**e**\nf", "x " * 80, "## B\n\nword. " * 3]
 
 
-@pytest.mark.parametrize("name", ["clean_single_passes", "space_ordered_lists", "space_around_headings", "space_around_bold", "toc_align", "pipes_to_csv", "tables_moved", "summaries_made"])
+@pytest.mark.parametrize("name", ["clean_single_passes", "space_ordered_lists", "space_around_headings", "space_around_bold", "toc_align", "pipes_to_csv", "tables_moved", "summaries_made", "pluggable_token_counts"])
 def test_no_arrow_batch_of_texts(spark, tmp_path, name):
     spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     out = registry.queries()[name](spark, str(tmp_path))
