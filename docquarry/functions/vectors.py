@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docquarry.functions.text import let
+
 
 def doubles(v: Column) -> Column:
     return v.cast("array<double>")
@@ -25,9 +27,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def l2_normalised(v: Column) -> Column:
-    """The vector at length 1 as floats; a zero vector stays."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(doubles(v), lambda x: x / n)).otherwise(doubles(v)).cast("array<float>")
+    """The vector at length 1 as floats; a zero vector stays. Its norm is computed once, not for each component."""
+    return let(norm(v), lambda n: F.when(n > 0, F.transform(doubles(v), lambda x: x / n)).otherwise(doubles(v))).cast("array<float>")
 
 
 def usable(v: Column) -> Column:

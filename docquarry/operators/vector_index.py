@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -12,10 +13,12 @@ from pyspark.sql import Window as W
 
 from docquarry import scratch
 from docquarry.functions import vectors as V
+from docquarry.operators import nearest
 
 CELL = 1_000  # vectors of a cell, about
 MOST_CELLS = 4_096
 SAMPLE = 100  # vectors a centre that the centres are fitted to
+QUERY_BLOCK = 8_000_000  # numbers of queries and of their cells that one scan holds, 64 MB
 
 
 @dataclass(frozen=True)
@@ -48,7 +51,7 @@ def build(vectors: DataFrame, cells: int | None = None, key: str = "vec_id", col
     cells = min(MOST_CELLS, max(1, total // CELL) if cells is None else cells, max(1, total))
     share = min(1.0, 2.0 * SAMPLE * cells / max(1, total))
     picked = rows.where(F.pmod(F.xxhash64(key, F.lit(9)), F.lit(1 << 20)) < F.lit(share * (1 << 20))).orderBy(F.xxhash64(key), key).limit(SAMPLE * cells).select("_v").toArrow()
-    points = np.array(picked["_v"].to_pylist()) if picked.num_rows else np.zeros((0, 1))
+    points = picked["_v"].combine_chunks().flatten().to_numpy().reshape(picked.num_rows, -1) if picked.num_rows else np.zeros((0, 1))
     centres = fitted(points, min(cells, len(points))) if len(points) else points
     scratch.ship(spark)
     held = spark.sparkContext.broadcast(centres)  # at most MOST_CELLS rows
@@ -63,14 +66,16 @@ def build(vectors: DataFrame, cells: int | None = None, key: str = "vec_id", col
     return Index(scratch.materialize(placed.select("cell", key, "_v"), "cells"), centres, key, column)
 
 
-def search(index: Index, queries: DataFrame, probes: int | None = None, k: int = 10) -> DataFrame:
+def search(index: Index, queries: DataFrame, probes: int | None = None, k: int = 10, block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, key, similarity): the k nearest of each query in the ``probes`` nearest cells (by default a fifth, ten at least).
 
-    Queries and rows meet by cell; a large cell's join is one that the engine can split.
+    Rows are dealt by cell and key, so that a large cell is several tasks; blocks
+    of queries, of about ``block`` numbers, go to all tasks, and a row meets those
+    that probe its cell as a matrix.
     """
-    key, n = index.key, len(index.centres)
+    key, n, spark = index.key, len(index.centres), queries.sparkSession
     probes = min(max(1, n), max(10, math.ceil(n / 5)) if probes is None else probes)
-    held = queries.sparkSession.sparkContext.broadcast(index.centres)
+    held = spark.sparkContext.broadcast(index.centres)
 
     @F.pandas_udf("array<int>")
     def cells(vs):
@@ -82,8 +87,12 @@ def search(index: Index, queries: DataFrame, probes: int | None = None, k: int =
         return pd.Series(list(np.argsort(-near, axis=1, kind="stable")[:, :probes].astype("int32")))
 
     q = queries.select(F.col(key).alias("query_id"), V.l2_normalised(F.col(index.column)).cast("array<double>").alias("_q")).where(F.col("_q").isNotNull() & (V.norm(F.col("_q")) > 0))
-    asked = q.withColumn("cell", F.explode(cells("_q"))) if n else q.withColumn("cell", F.lit(0))
-    met = asked.join(index.rows, "cell").where(F.col("query_id") != F.col(key))
-    scored = met.select("query_id", key, V.cosine(F.col("_q"), F.col("_v")).alias("similarity"))
+    asked = q.withColumn("cells", cells("_q") if n else F.array(F.lit(0))).where(F.col("query_id").isNotNull())
+    sizes = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("_q")), F.lit(0)).alias("numbers")).first()
+    blocks = max(1, -(-(sizes.numbers + sizes.n * probes) // block))
+    parts = nearest.tasks(spark, sizes.numbers / blocks * index.rows.count() * probes / max(1, n))
+    rows = index.rows.where(F.col(key).isNotNull()).select(key, "_v", "cell").repartitionByRange(parts, "cell", key).sortWithinPartitions("cell")
+    dealt = F.pmod(F.xxhash64("query_id", F.lit(5)), F.lit(blocks))
+    scored = reduce(DataFrame.unionByName, [nearest.scanned(rows, asked if blocks == 1 else asked.where(dealt == i), k) for i in range(blocks)])
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("similarity"), key))
     return scored.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", key, "similarity")

@@ -152,3 +152,12 @@ def test_exact_search_is_by_matrices_with_ties_and_odd_rows(spark):
         want.setdefault(r.query_id, []).append((0 if np.isnan(r.s) else 1, -r.s if not np.isnan(r.s) else 0, r.vec_id))
     want = {(q, n + 1, v) for q, near in want.items() for n, (_, _, v) in enumerate(sorted(near)[:10])}
     assert {(r.query_id, r["rank"], r.vec_id) for r in found.collect()} == want
+
+
+def test_index_search_is_by_matrices_in_blocks(spark):
+    rng = np.random.default_rng(6)
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(np.r_[rng.standard_normal((300, 4)), np.ones((100, 4))])], "vec_id long, embedding array<double>")
+    index, asked = VI.build(rows, cells=4), rows.where("vec_id % 20 = 0")
+    one, many = (VI.search(index, asked, probes=2, block=b) for b in (10_000, 40))
+    assert "SortMergeJoin" not in one._jdf.queryExecution().toString()
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect())) and one.count() == 200
